@@ -2,8 +2,7 @@
 
 Only how many items have each length matters for the filling, so the plan is made on the histogram of lengths: at most
 `capacity` rows, whatever the number of texts. Each step of the plan takes as many equal containers as the counts
-allow and uses up one length or one group of containers, hence at most 8 x capacity slots; this bounds what is
-broadcast. Texts then find their slot by their rank among the texts of the same length. Ranks are counted in salted
+allow and uses up one length or one group of containers, hence at most 8 x capacity slots. Texts then find their slot by their rank among the texts of the same length. Ranks are counted in salted
 groups, so that a length shared by a third of all texts is no single task.
 
 Defined results: a text longer than the capacity is cut into parts of just the capacity and a remainder; no other text
@@ -173,7 +172,7 @@ def pack(sizes: DataFrame, containers: DataFrame, key: str = "doc_id", size: str
     ranked = some.withColumn("_own", F.row_number().over(own) - 1).join(offsets, [name, "lunghezza", "_salt"])
     ranked = ranked.withColumn("_rank", F.col("_own") + F.col("_from")).join(F.broadcast(steps), [name, "lunghezza"])
     ranked = ranked.withColumn("blocco", F.expr("shiftright(_rank, passo)")).drop("passo")
-    placed = ranked.join(F.broadcast(planned.drop("passo")), [name, "lunghezza", "blocco"]).filter("_rank >= primo and _rank < primo + quanti")
+    placed = ranked.join(planned.drop("passo"), [name, "lunghezza", "blocco"]).filter("_rank >= primo and _rank < primo + quanti")
     placed = placed.select(name, key, "parte", "inizio", "lunghezza", (F.col("contenitore") + F.col("_rank") - F.col("primo")).alias("contenitore"))
     empty = parts.filter("lunghezza = 0 and parte = 1").select(name, key, "parte", "inizio", "lunghezza", F.lit(None).cast("bigint").alias("contenitore"))
     return placed.unionByName(empty)

@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from scrivano.llm import encode, packing
+from scrivano.llm import encode, lookalike, packing, repeated_lines
 from scrivano.session import table, written
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -35,3 +35,30 @@ def p7_packed(spark: SparkSession, d: str) -> DataFrame:
         one = packing.pack(sizes, containers.filter(containers["tokenizer"] == name))
         out = one if out is None else out.unionByName(one)
     return out
+
+
+@query
+def p8_found(spark: SparkSession, d: str) -> DataFrame:
+    """Pairs of documents that look the same but differ in their characters."""
+    return lookalike.same_look(table(spark, d, "documents"))
+
+
+@query
+def p3_found(spark: SparkSession, d: str) -> DataFrame:
+    """Lines that come back in many documents of their municipality."""
+    return repeated_lines.repeated_lines(table(spark, d, "documenti_corpus"))
+
+
+@query
+def p3_cleaned(spark: SparkSession, d: str) -> DataFrame:
+    """Texts without these lines."""
+    return repeated_lines.without_repeated(table(spark, d, "documenti_corpus"))
+
+
+SQL["p3_found"] = r"""
+WITH l AS (SELECT doc_key, ente, unnest(string_split(text, chr(10))) AS line, generate_subscripts(string_split(text, chr(10)), 1) AS riga FROM documenti_corpus),
+n AS (SELECT doc_key, ente, riga, regexp_replace(lower(trim(regexp_replace(line, '[\s\p{Z}\x{85}\x{0b}]+', ' ', 'g'))), '\p{Nd}+', '0', 'g') AS norm FROM l),
+f AS (SELECT ente, norm FROM n WHERE length(regexp_replace(norm, '[^\p{L}]', '', 'g')) >= 10 GROUP BY ente, norm
+      HAVING count(DISTINCT doc_key) >= 5 AND count(DISTINCT doc_key) >= 0.05 * (SELECT count(*) FROM documenti_corpus c WHERE c.ente IS NOT DISTINCT FROM n.ente))
+SELECT n.doc_key, CAST(n.riga AS BIGINT) AS riga FROM n JOIN f ON n.ente IS NOT DISTINCT FROM f.ente AND n.norm = f.norm
+"""
