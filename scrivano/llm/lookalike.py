@@ -15,8 +15,9 @@ import unicodedata
 from collections.abc import Iterator
 
 import pandas as pd
+import pyarrow as pa
 import regex
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.types import ArrayType, StringType, StructField, StructType
 
@@ -37,8 +38,8 @@ BLANK = regex.compile(r"\p{Zs}")
 FOREIGN = regex.compile(r"[\p{Cyrillic}\p{Greek}]")
 LATIN = regex.compile(r"\p{Latin}")
 WORD = regex.compile(r"[\p{L}\p{M}\p{N}_]+")
-# What a text must contain to be touched at all.
-SPECIAL = r"[\t\r\p{Cf}\p{M}\p{IsCyrillic}\p{IsGreek}\x{FF01}-\x{FF5E}\x{FB00}-\x{FB06}\x{2215}\x{2010}\x{2011}\x{115F}\x{1160}\x{3164}\x{FFA0}]|[\p{Zs}&&[^ ]]"
+# Characters of texts that are surely in their form already; any other sends a text through `folded`.
+OTHER = r"[^\n -~\u00A1-\u00AC\u00AE-\u024F\u2013-\u201F\u2026\u20AC]"
 
 
 def fold(text: str) -> str:
@@ -99,34 +100,67 @@ def substituted(texts: pd.Series, tokens: pd.Series, repairs: pd.Series) -> pd.S
     return pd.Series(out, dtype=object)
 
 
+def corpus_words(texts: DataFrame) -> DataFrame:
+    """The different words of all texts, gathered batch by batch in the tasks before they are shuffled."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        rough: set[str] = set()
+
+        def words() -> pa.RecordBatch:
+            out = pa.array({w for x in rough for w in (WORD.findall(x) if not x.isalpha() else (x,))}, pa.string())
+            rough.clear()
+            return pa.RecordBatch.from_arrays([out], names=["repair"])
+
+        for batch in batches:
+            for t in batch.column(0).to_pylist():
+                rough.update(t.split())
+            if len(rough) > 300_000:
+                yield words()
+        yield words()
+
+    return texts.mapInArrow(run, "repair string").distinct()
+
+
 def unified(docs: DataFrame, key: str = "doc_id", text: str = "text") -> tuple[DataFrame, DataFrame]:
-    """(`key`, text, form) of the texts with special characters, and (`key`, text) of all others, whose form is the text.
+    """(`key`, own, form, text) of the texts with other than plain characters, where own is a hash of the text, form the
+    unified text; and (`key`, own) of all others, whose form is the text.
 
-    Only special texts go through Python. The vocabulary is counted over all texts, in the JVM; of it only words that are
-    the result of some repair are kept, so what is joined follows the number of repairs."""
+    Only texts that are not plain go through `folded`. The vocabulary is that of all texts; of it only words that are the
+    result of some repair are kept, so what is joined follows the number of repairs."""
     docs = docs.select(F.col(key), F.col(text).alias("text")).filter("text is not null")
-    special, plain = docs.filter(F.col("text").rlike(SPECIAL)), docs.filter(~F.col("text").rlike(SPECIAL))
-    special = written(special.select(key, "text", folded("text").alias("f")).select(key, "text", F.col("f.text").alias("fold"), "f.tokens", "f.repairs"), "folded")
+    once = written(docs.select(key, digest("text").alias("own"), F.when(F.col("text").rlike(OTHER), F.col("text")).alias("text")), "seen")
+    special = once.filter("text is not null").select(key, "own", "text", folded("text").alias("f"))
+    special = written(special.select(key, "own", "text", F.col("f.text").alias("fold"), "f.tokens", "f.repairs"), "folded")
     wanted = special.select(key, F.inline(F.arrays_zip("tokens", "repairs")).alias("token", "repair"))
     spellings = wanted.groupBy("repair").agg((F.min("token") != F.max("token")).alias("several"))
-    clean = plain.select("text").unionByName(special.select(F.col("fold").alias("text")))
-    words = clean.select(F.explode(F.array_distinct(F.split("text", r"[^\p{L}\p{M}\p{N}_]+"))).alias("repair")).distinct()
+    words = corpus_words(docs.select("text")).unionByName(corpus_words(special.select("fold"))).distinct()
     known = spellings.join(words, "repair", "left_semi").select("repair").union(spellings.filter("several").select("repair")).distinct()
     good = wanted.join(known, "repair").groupBy(key).agg(F.collect_list(F.struct("token", "repair")).alias("pairs"))
-    special = special.select(key, "text", "fold").join(good, key, "left")
-    return special.select(key, "text", substituted("fold", F.col("pairs.token"), F.col("pairs.repair")).alias("form")), plain
+    special = special.select(key, "own", "text", "fold").join(good, key, "left")
+    form = substituted("fold", F.col("pairs.token"), F.col("pairs.repair")).alias("form")
+    return special.select(key, "own", "text", form), once.filter("text is null").select(key, "own")
+
+
+def digest(c: str | Column) -> Column:
+    return F.unhex(F.md5(F.encode(c, "UTF-8")))
+
+
+def in_one_form(docs: DataFrame, key: str = "doc_id", text: str = "text") -> DataFrame:
+    """(`key`, `text`) with every text in its form."""
+    special, _ = unified(docs, key, text)
+    special = special.select(key, F.col("form").alias("_form"))
+    return docs.select(key, text).join(special, key, "left").select(key, F.coalesce("_form", text).alias(text))
 
 
 def same_look(docs: DataFrame, key: str = "doc_id", text: str = "text") -> DataFrame:
     """Pairs (doc_a, doc_b) of different texts with one form. At least one text of a pair is not in its form, so pairs are
     made from these texts only, and only hashes of the others are moved."""
     special, plain = unified(docs, key, text)
-    digest = lambda c: F.unhex(F.md5(F.encode(c, "UTF-8")))
-    special = special.filter(F.col("form").rlike(r"\S")).select(F.col(key).alias("doc"), digest("form").alias("form"), digest("text").alias("own"))
+    special = special.filter(F.col("form").rlike(r"\S")).select(F.col(key).alias("doc"), digest("form").alias("form"), "own")
     special = written(special, "forms")
     changed = special.filter("form != own")
     wanted = changed.select("form").distinct()
-    same = plain.select(F.col(key).alias("doc"), digest("text").alias("form")).withColumn("own", F.col("form")).unionByName(special.filter("form = own"))
+    same = plain.select(F.col(key).alias("doc"), F.col("own").alias("form"), "own").unionByName(special.filter("form = own"))
     same = same.join(wanted, "form", "left_semi")
     others = same.withColumn("changed", F.lit(False)).unionByName(changed.withColumn("changed", F.lit(True)))
     pairs = changed.alias("a").join(others.alias("b"), F.expr("a.form = b.form and a.own != b.own and (not b.changed or a.doc < b.doc)"))
