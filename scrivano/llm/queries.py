@@ -5,8 +5,9 @@ from __future__ import annotations
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
-from scrivano.llm import encode, lookalike, packing, repeated_lines
+from scrivano.llm import encode, lookalike, packing, repeated_lines, scanned
 from scrivano.session import table, written
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -18,6 +19,19 @@ def query(f: Callable[[SparkSession, str], DataFrame]) -> Callable[[SparkSession
     return f
 
 
+@query
+def p1_found(spark: SparkSession, d: str) -> DataFrame:
+    """Lines with damage of scanned pages, by kind."""
+    found = scanned.scanned(table(spark, d, "documenti_corpus"))
+    return found.select("doc_key", F.inline("cases").alias("riga", "tipo"))
+
+
+@query
+def p1_repaired(spark: SparkSession, d: str) -> DataFrame:
+    """The running text of the acts in whole paragraphs."""
+    return scanned.scanned(table(spark, d, "documenti_corpus")).select("doc_key", "text")
+
+
 @query
 def p6_ids(spark: SparkSession, d: str) -> DataFrame:
     """Tokens of every text."""
@@ -55,6 +69,12 @@ def p3_cleaned(spark: SparkSession, d: str) -> DataFrame:
     return repeated_lines.without_repeated(table(spark, d, "documenti_corpus"))
 
 
+@query
+def p8_unified(spark: SparkSession, d: str) -> DataFrame:
+    """Every text in its one form."""
+    return lookalike.in_one_form(table(spark, d, "documents"))
+
+
 SQL["p3_found"] = r"""
 WITH l AS (SELECT doc_key, ente, unnest(string_split(text, chr(10))) AS line, generate_subscripts(string_split(text, chr(10)), 1) AS riga FROM documenti_corpus),
 n AS (SELECT doc_key, ente, riga, regexp_replace(lower(trim(regexp_replace(line, '[\s\p{Z}\x{85}\x{0b}]+', ' ', 'g'))), '\p{Nd}+', '0', 'g') AS norm FROM l),
