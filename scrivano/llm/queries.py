@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from scrivano.llm import encode, lookalike, packing, repeated_lines, scanned
+from scrivano.llm import encode, lookalike, name_variants, packing, repeated_lines, scanned
 from scrivano.session import table, written
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -32,6 +32,24 @@ def p1_repaired(spark: SparkSession, d: str) -> DataFrame:
     return scanned.scanned(table(spark, d, "documenti_corpus")).select("doc_key", "text")
 
 
+def people(spark: SparkSession, d: str) -> DataFrame:
+    rows = table(spark, d, "allegati_parsed")
+    fields = [rows.select(F.lit(f).alias("campo"), F.col(f).alias("nome")) for f in ("beneficiario", "responsabile")]
+    return fields[0].unionByName(fields[1])
+
+
+@query
+def p4_found(spark: SparkSession, d: str) -> DataFrame:
+    """Pairs of spellings of one entity."""
+    return name_variants.variant_pairs(people(spark, d))
+
+
+@query
+def p4_entities(spark: SparkSession, d: str) -> DataFrame:
+    """Entity of each spelling."""
+    return name_variants.variants(people(spark, d))
+
+
 @query
 def p6_ids(spark: SparkSession, d: str) -> DataFrame:
     """Tokens of every text."""
