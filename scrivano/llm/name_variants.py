@@ -28,7 +28,7 @@ from pyspark.sql import functions as F
 
 from scrivano.session import written
 
-Q, ROWS, SIMILAR, RECALL, SAME = 3, 3, 0.4, 0.98, 0.8
+Q, ROWS, SIMILAR, RECALL, SAME = 3, 3, 0.3, 0.98, 0.8
 ESTABLISHED, EDITS = 3, 3
 BANDS = math.ceil(math.log(1 - RECALL) / math.log(1 - SIMILAR**ROWS))
 # What is no part of a name.

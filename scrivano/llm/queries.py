@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from scrivano.llm import encode, lookalike, name_variants, packing, repeated_lines, scanned
+from scrivano.llm import encode, lookalike, name_variants, packing, personal, repeated_lines, scanned
 from scrivano.session import table, written
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -50,6 +50,26 @@ def p4_entities(spark: SparkSession, d: str) -> DataFrame:
     return name_variants.variants(people(spark, d))
 
 
+def with_items(spark: SparkSession, d: str) -> DataFrame:
+    places = [r[0] for r in table(spark, d, "enti").select("comune").collect() if r[0]]  # a fixed table of twenty rows
+    texts = table(spark, d, "documenti_corpus").select(F.lit("documenti_corpus").alias("tabella"), F.col("doc_key").alias("chiave"), "text")
+    names = table(spark, d, "allegati_parsed").select(F.lit("allegati_parsed").alias("tabella"), F.col("estr_id").alias("chiave"), F.col("beneficiario").alias("text"))
+    both = texts.unionByName(names).select(F.struct("tabella", "chiave").alias("key"), "text")
+    return personal.personal(both, "key", "text", places)
+
+
+@query
+def p5_found(spark: SparkSession, d: str) -> DataFrame:
+    """Items of personal data, each different one of a row once."""
+    return with_items(spark, d).select("key.tabella", "key.chiave", F.inline("items").alias("tipo", "valore"))
+
+
+@query
+def p5_redacted(spark: SparkSession, d: str) -> DataFrame:
+    """The texts with typed placeholders."""
+    return with_items(spark, d).select("key.tabella", "key.chiave", "text")
+
+
 @query
 def p6_ids(spark: SparkSession, d: str) -> DataFrame:
     """Tokens of every text."""
