@@ -20,6 +20,7 @@ import re
 import unicodedata
 import zlib
 from collections.abc import Iterator
+from functools import lru_cache
 
 import numpy as np
 import pandas as pd
@@ -29,7 +30,7 @@ from pyspark.sql import functions as F
 from scrivano.session import written
 
 Q, ROWS, SIMILAR, RECALL, SAME = 3, 3, 0.3, 0.98, 0.8
-ESTABLISHED, EDITS = 3, 3
+ESTABLISHED, EDITS, LEAST_SIMILAR = 3, 3, 0.15
 BANDS = math.ceil(math.log(1 - RECALL) / math.log(1 - SIMILAR**ROWS))
 # What is no part of a name.
 TITLES = "dott dr dssa dottssa arch ing geom avv rag sig sigra sigri prof profssa ditta spettle spett impresa gent gentle egr sra on cav mons don".split()
@@ -159,6 +160,7 @@ def distance(a: str, b: str, most: int) -> int:
     return one[-1]
 
 
+@lru_cache(maxsize=500_000)
 def word_similarity(a: str, b: str) -> float:
     if a == b:
         return 1.0
@@ -228,6 +230,11 @@ def compare(a: list[str], b: list[str], form_a: str, form_b: str, known: dict[st
     return total / min(len(a), len(b)), full
 
 
+@lru_cache(maxsize=100_000)
+def own_grams(words: tuple[str, ...]) -> frozenset[str]:
+    return frozenset(grams(distinctive(list(words))))
+
+
 def fits_acronym(word: str, words: list[str]) -> bool:
     return word in acronyms(words, False)
 
@@ -256,6 +263,12 @@ def linked_nodes(nodes: DataFrame) -> DataFrame:
                     sims.append(0.85 if good else 0.0)
                     fulls.append(False)
                 else:
+                    x, y = own_grams(tuple(wa)), own_grams(tuple(wb))
+                    both = len(x & y)
+                    if both < LEAST_SIMILAR * (len(x) + len(y) - both):  # met by chance: the exact similarity is far too low
+                        sims.append(0.0)
+                        fulls.append(False)
+                        continue
                     s, full = compare(wa, wb, fa, fb, {**dict(zip(wa, sa)), **dict(zip(wb, sb))})
                     sims.append(s)
                     fulls.append(full)
