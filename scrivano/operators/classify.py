@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import functools
 import re
 
 from pyspark.sql import Column, DataFrame
@@ -57,33 +58,38 @@ def title_kind(text: str | Column) -> Column:
     return by_rules(F.coalesce(col(text), F.lit("")), TITLE_RULES)
 
 
-def has_word(text: Column, word: str) -> Column:
-    """Whether the word or phrase stands in the text, by itself, in any case."""
-    return F.coalesce(text, F.lit("")).rlike(rf"(?iu)(?<![\p{{L}}\p{{N}}_]){re.escape(word)}(?![\p{{L}}\p{{N}}_])")
+def has_word(text: Column, low: Column, word: str) -> Column:
+    """Whether the word or phrase stands in the text, by itself, in any case. `low` is the text in lower case: a plain
+    search in it rules out most rows before the pattern is tried."""
+    return low.contains(word.lower()) & text.rlike(rf"(?iu)(?<![\p{{L}}\p{{N}}_]){re.escape(word)}(?![\p{{L}}\p{{N}}_])")
 
 
-def scores(subject: Column, text: Column) -> Column:
+def scores(subject: Column, subject_low: Column, head: Column, head_low: Column) -> Column:
     """Array of (category, score, terms) with a score above 0. Rules are literals, so each pattern is compiled once a task."""
-    head, out = F.substring(F.coalesce(text, F.lit("")), 1, TEXT_PREFIX), []
+    out = []
     for name, words in CATEGORIES.items():
-        hits = F.array(*(F.struct(F.lit(w).alias("w"), has_word(subject, w).cast("int").alias("s"), has_word(head, w).cast("int").alias("t")) for w in words))
-        score = F.aggregate(hits, F.lit(0), lambda a, x: a + x["s"] * SUBJECT_WEIGHT + x["t"])
-        terms = F.array_sort(F.transform(F.filter(hits, lambda x: x["s"] + x["t"] > 0), lambda x: x["w"]))
-        out.append(F.struct(F.lit(name).alias("category"), score.alias("score"), terms.alias("terms")))
-    return F.filter(F.array(*out), lambda x: x["score"] > 0)
+        hits = F.array(*(F.struct(F.lit(w).alias("w"), (has_word(subject, subject_low, w).cast("int") * SUBJECT_WEIGHT + has_word(head, head_low, w).cast("int")).alias("s")) for w in words))
+        out.append(F.struct(F.lit(name).alias("category"), hits.alias("hits")))
+    ranked = F.transform(
+        F.array(*out),
+        lambda c: F.struct((-F.aggregate(c["hits"], F.lit(0), lambda a, x: a + x["s"])).alias("k"), c["category"].alias("category"), F.array_sort(F.transform(F.filter(c["hits"], lambda x: x["s"] > 0), lambda x: x["w"])).alias("terms")),
+    )
+    return F.array_sort(F.filter(ranked, lambda x: x["k"] < 0))
 
 
 def classified(docs: DataFrame, subject: str = "oggetto", text: str = "text") -> DataFrame:
     """Adds category (best score, ties by name), confidence (`high`, or `ambiguous` on a tie at the top), terms and subcategory."""
-    order = F.array_sort(F.transform("_all", lambda x: F.struct((-x["score"]).alias("k"), x["category"].alias("category"), x["terms"].alias("terms"))))
-    df = docs.withColumn("_all", scores(F.col(subject), F.col(text))).withColumn("_all", order)
-    both = F.concat(F.coalesce(subject, F.lit("")), F.lit(" "), F.coalesce(text, F.lit("")))
-    sub = F.coalesce(*(F.when(F.array_max(F.array(*(has_word(both, w) for w in words))), label) for label, words in SUBCATEGORIES.items()))
+    full = lambda c: F.coalesce(F.col(c), F.lit(""))
+    df = docs.withColumns({"_s": full(subject), "_h": F.substring(full(text), 1, TEXT_PREFIX), "_b": F.concat(full(subject), F.lit(" "), full(text))})
+    df = df.withColumns({f"{c}l": F.lower(c) for c in ("_s", "_h", "_b")})
+    any_of = lambda words: functools.reduce(lambda a, b: a | b, (has_word(F.col("_b"), F.col("_bl"), w) for w in words))
+    sub = F.coalesce(*(F.when(any_of(words), label) for label, words in SUBCATEGORIES.items()))
+    df = df.withColumn("_all", scores(F.col("_s"), F.col("_sl"), F.col("_h"), F.col("_hl")))
     first, second = F.try_element_at("_all", F.lit(1)), F.try_element_at("_all", F.lit(2))
     tie = F.coalesce(first["k"] == second["k"], F.lit(False))
     confidence = F.when(first.isNotNull(), F.when(tie, "ambiguous").otherwise("high"))
     new = {"category": first["category"], "subcategory": sub, "classification_confidence": confidence, "classification_terms": F.nullif(F.concat_ws(",", first["terms"]), F.lit(""))}
-    return df.withColumns(new).drop("_all")
+    return df.withColumns(new).drop("_all", "_s", "_h", "_b", "_sl", "_hl", "_bl")
 
 
 def enriched(items: DataFrame) -> DataFrame:
