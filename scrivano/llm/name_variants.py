@@ -226,7 +226,7 @@ def compare(a: list[str], b: list[str], form_a: str, form_b: str, known: dict[st
         return 0.0, False
     if any(len(w) == 1 for w in left) and any(len(w) == 1 for w in right) and not (len(mine) > 1):
         return 0.0, False
-    full = not any(len(w) > 1 for w in left + right) and not any(min(len(a[i]), len(b[j])) == 1 for s, i, j in pairs if s >= 0.6 and i in mine and j in yours and s == 0.9)
+    full = form_a == form_b and not any(len(w) > 1 for w in left + right) and not any(min(len(a[i]), len(b[j])) == 1 for s, i, j in pairs if s >= 0.6 and i in mine and j in yours and s == 0.9)
     return total / min(len(a), len(b)), full
 
 
@@ -244,22 +244,22 @@ def linked_nodes(nodes: DataFrame) -> DataFrame:
 
     def keys(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for pdf in batches:
-            rows = [bands(list(w)) + [hash_text(x) for x in acronyms(list(w), a)] for w, a in zip(pdf["words"], pdf["acronym"])]
+            rows = [bands(list(w)) + [hash_text(x) for x in {x for o in orders for x in acronyms(list(o), a)}] for w, a, orders in zip(pdf["words"], pdf["acronym"], pdf["orders"])]
             yield pdf.assign(keys=rows)
 
-    kinds = "campo string, node bigint, words array<string>, form string, acronym boolean, support array<bigint>, keys array<bigint>"
+    kinds = "campo string, node bigint, words array<string>, orders array<array<string>>, form string, acronym boolean, support array<bigint>, keys array<bigint>"
     keyed = nodes.mapInPandas(keys, kinds).select("campo", "node", F.explode("keys").alias("k"))
     met = keyed.alias("x").join(keyed.alias("y"), F.expr("x.campo = y.campo and x.k = y.k and x.node < y.node")).select("x.campo", F.col("x.node").alias("a"), F.col("y.node").alias("b")).distinct()
-    side = lambda n: nodes.select("campo", F.col("node").alias(n), F.col("words").alias(f"w{n}"), F.col("form").alias(f"f{n}"), F.col("acronym").alias(f"q{n}"), F.col("support").alias(f"s{n}"))
+    side = lambda n: nodes.select("campo", F.col("node").alias(n), F.col("words").alias(f"w{n}"), F.col("orders").alias(f"o{n}"), F.col("form").alias(f"f{n}"), F.col("acronym").alias(f"q{n}"), F.col("support").alias(f"s{n}"))
     met = met.join(side("a"), ["campo", "a"]).join(side("b"), ["campo", "b"])
 
     def verify(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for pdf in batches:
             sims, fulls = [], []
-            for wa, wb, fa, fb, qa, qb, sa, sb in zip(*(pdf[c] for c in ("wa", "wb", "fa", "fb", "qa", "qb", "sa", "sb"))):
+            for wa, wb, oa, ob, fa, fb, qa, qb, sa, sb in zip(*(pdf[c] for c in ("wa", "wb", "oa", "ob", "fa", "fb", "qa", "qb", "sa", "sb"))):
                 wa, wb = list(wa), list(wb)
                 if qa != qb:
-                    good = fits_acronym(*((wa[0], wb) if qa else (wb[0], wa))) and (not fa or not fb or fa == fb)
+                    good = any(fits_acronym(wa[0] if qa else wb[0], list(o)) for o in (ob if qa else oa)) and (not fa or not fb or fa == fb)
                     sims.append(0.85 if good else 0.0)
                     fulls.append(False)
                 else:
@@ -286,9 +286,11 @@ def stars(nodes: DataFrame, links: DataFrame) -> DataFrame:
     """(node, centre) of every node: star clustering by rounds."""
     both = links.select("a", "b", "sim", "full").unionByName(links.select(F.col("b").alias("a"), F.col("a").alias("b"), "sim", "full"))
     both = written(both, "links")
-    degree = both.groupBy("a").agg(F.sum(F.when(F.col("full"), 1000).otherwise(1)).alias("d"))
-    # most full links first; among equals the name with more words, then the smaller number
-    rank = nodes.join(degree, F.col("node") == F.col("a"), "left").select("node", F.struct(F.coalesce("d", F.lit(0)).alias("d"), F.size("words").alias("n"), (-F.col("node")).alias("k")).alias("rank"))
+    degree = both.groupBy("a").agg(F.count_if("full").alias("d"))
+    # most full links first; among equals the fuller name, then the smaller number. Partial links do not count: a short
+    # form has them to every name it fits
+    fuller = (F.size("words") + F.when(F.col("form") != "", 1).otherwise(0)).alias("n")
+    rank = nodes.join(degree, F.col("node") == F.col("a"), "left").select("node", F.struct(F.coalesce("d", F.lit(0)).alias("d"), fuller, (-F.col("node")).alias("k")).alias("rank"))
     open_, done = written(rank, "rank"), None
     while True:
         near = both.join(open_.select(F.col("node").alias("a"), F.col("rank").alias("ra")), "a").join(open_.select(F.col("node").alias("b"), F.col("rank").alias("rb")), "b")
@@ -316,10 +318,10 @@ def variants(names: DataFrame) -> DataFrame:
     names = names.filter("nome is not null").distinct()
     parsed = names.mapInPandas(words, "campo string, nome string, words array<string>, form string, acronym boolean").filter("size(words) > 0")
     parsed = written(parsed.withColumn("node", F.xxhash64("campo", F.array_sort("words"), "form")), "names")
-    nodes = parsed.groupBy("campo", "node").agg(F.min("words").alias("words"), F.first("form").alias("form"), F.max("acronym").alias("acronym"), F.count("*").alias("n"))
+    nodes = parsed.groupBy("campo", "node").agg(F.min("words").alias("words"), F.collect_set("words").alias("orders"), F.first("form").alias("form"), F.max("acronym").alias("acronym"), F.count("*").alias("n"))
     each = nodes.select("campo", "node", "n", F.posexplode("words").alias("at", "word"))
     support = each.join(each.groupBy("campo", "word").agg(F.sum("n").alias("have")), ["campo", "word"]).groupBy("campo", "node").agg(F.array_sort(F.collect_list(F.struct("at", "have"))).alias("s"))
-    nodes = written(nodes.join(support, ["campo", "node"]).select("campo", "node", "words", "form", "acronym", F.col("s.have").alias("support")), "nodes")
+    nodes = written(nodes.join(support, ["campo", "node"]).select("campo", "node", "words", "orders", "form", "acronym", F.col("s.have").alias("support")), "nodes")
     placed = stars(nodes, linked_nodes(nodes))
     return parsed.select("campo", "nome", "node").join(placed, "node").select("campo", "nome", F.col("centre").alias("entity"))
 

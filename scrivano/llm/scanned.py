@@ -26,7 +26,7 @@ from pyspark.sql import functions as F
 
 from scrivano.llm.repeated_lines import repeated_lines
 
-RARE, TIMES_MORE = 400_000, 40
+RARE, TIMES_MORE, SHORTEST_PAGE = 400_000, 40, 6
 BREAKS = "-­¬￾‐"
 # What a recogniser reads, and what stood there.
 MISREAD = {
@@ -95,9 +95,15 @@ def headers(lines: list[str], site: set[int], pages: set[int], title: str) -> tu
         m = NUMBERED.match(s)
         bare = PREFIX.sub("", m["head"] if m else s)
         cores[i] = (bool(m), bool(m) or bare != s, bare, folded(bare))
+    last: dict[str, int] = {}
+    gaps: Counter[str] = Counter()
+    for i, (_, _, _, core) in cores.items():
+        gaps[core] += i - last.get(core, -SHORTEST_PAGE) < SHORTEST_PAGE
+        last[core] = i
+    close = {core for core, n in gaps.items() if n > 1}  # lines that keep coming back within a few lines are no page edges
     for k, (i, s) in enumerate(own):
         m, marked, bare, core = cores[i]
-        if len(core) < 10:
+        if len(core) < 10 or not marked and core in close and len(words) != len(bare.split()):
             continue
         hit = any(alike(core, t) for t in tails) or k == 0 and not words and len(bare.split()) < 8 and core.replace(" ", "") in region
         if not hit and marked and len(core.split()) > 2 and any(alike(core, t[: len(core)]) and abs(len(t) - len(core)) < 0.6 * len(t) for t in tails):
@@ -132,7 +138,8 @@ def headers(lines: list[str], site: set[int], pages: set[int], title: str) -> tu
     near = [j for j in edges if j in place and j not in found]
     forms = {j: folded(PREFIX.sub("", re.sub(r"\d+", "", lines[j]))) for j in near}
     for j in near:
-        if len(forms[j]) > 9 and sum(alike(forms[j], forms[x]) for x in near) >= max(2, len(pages) // 2):
+        here = sum(alike(forms[j], forms[x]) for x in near)
+        if len(forms[j]) > 9 and here >= max(2, len(pages) // 2) and cores[j][3] not in close:
             found.add(j)
     return found, numbered
 
