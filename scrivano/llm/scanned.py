@@ -37,6 +37,7 @@ FIGURES = {"O": "0", "o": "0", "l": "1", "I": "1", "S": "5", "Z": "2", "b": "6",
 WORD = re.compile(r"[^\W_]+")
 BROKEN = re.compile(rf"([^\W_]+)([{BREAKS}])$")
 FIGURE = re.compile(r"(?<![^\W_])(?=[^\W_]*\d)[\dOoSZlbgBI]+(?![^\W_])")
+STREET = re.compile(r"(?i)\b(?:via|viale|v\.le|piazza|p\.zza|largo|corso|vicolo|contrada)\s[^.;:]{2,40}$")
 NUMBERED = re.compile(r"(?i)^(?P<head>.{4,100}?)\s+(?:[-–—|/·•]\s*(?:(?:pag(?:ina|\.)?|p\.)\s*)?|(?:pag(?:ina|\.)|p\.)\s*)(?P<n>\d{1,4})$")
 FORMATS = [
     re.compile(p, re.I)
@@ -108,7 +109,7 @@ def headers(lines: list[str], site: set[int], pages: set[int], title: str) -> tu
         hit = any(alike(core, t) for t in tails) or k == 0 and not words and len(bare.split()) < 8 and core.replace(" ", "") in region
         if not hit and marked and len(core.split()) > 2 and any(alike(core, t[: len(core)]) and abs(len(t) - len(core)) < 0.6 * len(t) for t in tails):
             hit = True  # its last words are cut off
-        if hit and not marked and s.endswith((".", ",", ";", ":")):
+        if hit and not marked and s.endswith((".", ",", ";", ":", *BREAKS)):
             continue
         if hit and not words:
             tails.add(core)
@@ -116,6 +117,9 @@ def headers(lines: list[str], site: set[int], pages: set[int], title: str) -> tu
             # the last line of the title itself, wrapped just there, follows the words before its end
             before = folded(" ".join(words[: -len(bare.split())])).split()[-2:]
             previous = folded(own[k - 1][1]).split()[-len(before) :] if k else []
+            left, right = BROKEN.search(own[k - 1][1]) if k else None, WORD.match(s)
+            if left and right and folded(left[1] + right[0]) in {folded(x) for w in words for x in WORD.findall(w)}:
+                continue  # it begins with the rest of a word of the title
             whole = alike(core, folded(title)) and k + 1 < len(own)
             follows = before and SequenceMatcher(None, "".join(before), "".join(previous), autojunk=False).ratio() > 0.75
             if follows or whole and not any(alike(core, folded(x)) for _, x in own[k + 1 : k + 4]):
@@ -203,8 +207,12 @@ def examine(text: str, site: set[int], title: str, words: Words) -> tuple[list[t
         left, right = m[1], n[0]
         whole, kept = (left + right).lower(), f"{left}-{right}".lower()
         one = words.counts.get(whole, 0) or (words.counts.get(words.right(whole) or "", 0))
-        two = words.counts.get(kept, 0)
+        sides = [words.right(x) or x for x in (left, right)]
+        two = max(words.counts.get(kept, 0), words.counts.get("-".join(sides).lower(), 0))
         if m[2] == "-" and (two > one or not one and (left.isdigit() or right.isdigit())):
+            if not words.counts.get(kept, 0) and two:
+                misread |= {x for x, was, now in ((i, left, sides[0]), (j, right, sides[1])) if was.lower() != now.lower()}
+                left, right = (cased(now, was) for was, now in zip((left, right), sides))
             joined[i] = (j, f"{left}-{right}")
             continue
         cases.append((i, "sillabazione"))
@@ -230,7 +238,7 @@ def examine(text: str, site: set[int], title: str, words: Words) -> tuple[list[t
                 return w
             if FIGURE.fullmatch(w):
                 # a letter after a house number is no misread figure
-                if len(w) > 1 and (w[-1] not in "bgBIo" or not w[:-1].isdigit() or s[max(0, m.start() - 1) : m.start()] in ("/", ".", ",") or s[m.end() : m.end() + 1] in ("/", ",") and s[m.end() + 1 : m.end() + 2].isdigit()):
+                if len(w) > 1 and not (w[:-1].isdigit() and w[-1] in "bgBI" and STREET.search(s[: m.start()])):
                     to = "".join(FIGURES.get(c, c) for c in w)
                     misread.add(i)
                     return to

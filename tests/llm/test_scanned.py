@@ -60,3 +60,15 @@ def test_bounded_vocabulary(spark):
     df = spark.createDataFrame([("parola nuova " * 50 + "unica",)], "text string")
     counts, least = scanned.corpus_words(df)
     assert counts == {"parola": 50, "nuova": 50} and least == 2
+
+
+def test_compound_with_a_misread_part():
+    counts = COUNTS | {"amministrativo": 3000, "tecnico": 3000, "tecnico-amministrativo": 900}
+    c, out = scanned.examine("il tecnico-\namm1nistrativo è", set(), "", scanned.Words(counts, 2))
+    assert sorted(c) == [(1, "carattere")] and "tecnico-amministrativo è" in out
+
+
+def test_title_that_goes_on_is_no_header():
+    title = "Selezione per n. 16 incarichi presso Area Tecnica, sede di Torretta"
+    got = cases("Selezione per n. 16 inca-\nrichi presso Area Tecnica, sede di Torretta\nil procedimento è", title=title)[0]
+    assert got == [(1, "sillabazione")]
