@@ -120,7 +120,7 @@ TRADE = "Costruzioni|Impianti|Servizi Ambientali|Forniture Scolastiche|Vivai|Man
 LAW = "S.r.l.|S.p.A.|SNC|Soc. Coop.|s.a.s.|Società per Azioni|srl|Srl unipersonale|Società Cooperativa".split("|")
 BODIES = "Consorzio Rifiuti Valverde|Banca di Credito Roccabruna|Croce Soccorso Pianalta|Gas Metano Collina Verde|Istituto Comprensivo Mulino Nord|Unione dei Borghi|Poste Montane|Pro Loco Roccabruna|Azienda Speciale Trasporti Valverde|N.D.".split("|")
 KINDS = "via|Via|VIA|viale|piazza|P.zza|largo|corso|V.le|vicolo|contrada|C.so".split("|")
-STREETS = "dei Mulini|della Fonte|delle Acacie|degli Aceri|del Borgo Alto|dell'Orologio|Garibasco|Dormelli|della Pieve Nuova|dei Cedri".split("|")
+STREETS = "della Posta Vecchia|della Rocca|del Lago Grande|dei Mulini|della Fonte|delle Acacie|degli Aceri|del Borgo Alto|dell'Orologio|Garibasco|Dormelli|della Pieve Nuova|dei Cedri".split("|")
 PLACES = "Roccabruna|Pian del Lago|Sant'Alberto|Colle Verde|Valverde|Borgo dei Pini".split("|")
 QUARTERS = "rione Piano di Sotto|rione La Torre|rione Fontana Vecchia|rione Orto Grande".split("|")
 MONTHS = "gennaio febbraio marzo aprile maggio giugno luglio agosto settembre ottobre novembre dicembre".split()

@@ -14,7 +14,6 @@ both places are replaced.
 from __future__ import annotations
 
 import re
-from collections import Counter
 from collections.abc import Iterator
 from functools import lru_cache
 
@@ -23,7 +22,7 @@ import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from scrivano.llm.labelled import ITEMS, table
+from scrivano.llm.labelled import ITEMS, SENTENCES, table
 from scrivano.llm.name_variants import FORMS, GIVEN, SHORT, TRADES, distance, plain
 
 LABELS = ["O"] + [f"{p}-{k}" for k in ITEMS for p in "BI"]
@@ -75,7 +74,7 @@ class Types:
     """Numbers of the types; a word's own type if the labelled table has it often enough outside items."""
 
     def __init__(self) -> None:
-        sentences, words = [], Counter()
+        sentences = []
         for pieces in table():
             text = "".join(p for p, _ in pieces)
             marks = np.zeros(len(text) + 1, int)
@@ -91,9 +90,10 @@ class Types:
                 k = marks[s]
                 labels.append(k)
             sentences.append(([t for t, _, _ in tokens], [int(x) for x in labels]))
-            words.update({t.strip().lower() for (t, _, _), k in zip(tokens, labels) if not k and t.strip().isalpha() and len(t.strip()) > 1})
-            words.update({t.strip().lower() for (t, _, _) in tokens if t.strip().lower() in {"bis", "int", "n", "example", "chiocciola", "at", "info", "di", "dei", "della", "delle", "degli", "del", "dell"}})
-        self.known = {w for w, n in words.items() if n >= 5 and not given(w) and w not in KINDS and w not in TRADES}
+        # words of the sentences themselves, not of the values put into them
+        own = re.findall(r"[^\W\d_]{2,}", re.sub(r"\{\w+\}", " ", SENTENCES).lower())
+        parts = "bis int example chiocciola at info dei della delle degli del dell".split()
+        self.known = {w for w in [*own, *parts] if not given(w) and w not in KINDS and w not in TRADES}
         self.number: dict[str, int] = {"<edge>": 0}
         self.memo: dict[str, int] = {}
         self.sentences = [([self.of(t, True) for t in ts], ks) for ts, ks in sentences]
@@ -137,7 +137,7 @@ class Field:
         length = x.shape[1] - 6
         return sum(self.w[a][x[:, a : a + length]] for a in range(len(AROUND)))
 
-    def train(self, sentences: list[tuple[list[int], list[int]]], steps: int = 60, rate: float = 0.3, decay: float = 0.002) -> Field:
+    def train(self, sentences: list[tuple[list[int], list[int]]], steps: int = 70, rate: float = 0.3, decay: float = 0.002) -> Field:
         groups: dict[int, list[tuple[list[int], list[int]]]] = {}
         for s in sentences:
             groups.setdefault(-(-len(s[0]) // 8) * 8, []).append(s)
@@ -237,9 +237,17 @@ def checked(text: str, start: int, end: int, kind: str, places: list[str], commo
         while (m := re.match(r"([^\W\d_]{2,})\s+", text[start:end])) and m[1].lower() in common:
             start += m.end()
         item = text[start:end]
+        small = len(text) < 150 and "\n" not in text and item == item.lower()
+        if not small:  # the part in capitals, if common words were taken with it
+            runs = [m for m in re.finditer(r"(?:(?<![^\W_])[A-ZÀ-Ý][\w'’]*[.,]?\s*-?\s*)+", item)]
+            runs = [m for m in runs if len(re.findall(r"[^\W\d_]+", m[0])) > 1]
+            if len(runs) == 1 and any(not w[0].isupper() for w in re.findall(r"[^\W\d_]+", item)):
+                start, item = start + runs[0].start(), runs[0][0].rstrip()
+                while (m := re.match(r"([^\W\d_]{2,})\s+", item)) and m[1].lower() in common:
+                    start, item = start + m.end(), item[m.end() :]
         while item and (item[-1] in ",;:-(" or item[-1].isspace()):
             item = item[:-1]
-        while (more := re.match(r"\s([A-ZÀ-Ý][^\W\d_]{3,})(?![\w.])", text[start + len(item) :])) and all(len(w) == 1 or given(w) for w in re.findall(r"[^\W\d_]+", item)):
+        while (more := re.match(r"\s([A-ZÀ-Ý][^\W\d_]{3,})(?!\w)", text[start + len(item) :])) and (plain(more[1]) in GIVEN and plain(item.split()[-1]) in GIVEN or all(len(w) == 1 or given(w) for w in re.findall(r"[^\W\d_]+", item))):
             item += more[0]
         if any(start <= m.start() < start + len(item) + 2 for rx, _ in FORMS for m in rx.finditer(text, start, start + len(item) + 25)):
             return None
@@ -247,7 +255,6 @@ def checked(text: str, start: int, end: int, kind: str, places: list[str], commo
         full = [w for w in words if len(w) > 1]
         if not full or len(words) < 2 or len(words) > 6 or any(c.isdigit() or c in "|;:" for c in item):
             return None
-        small = len(text) < 150 and "\n" not in text and item == item.lower()
         if not small and any(not w[0].isupper() for w in words):
             return None
         initial = any(len(w) == 1 and re.search(rf"\b{w}\.", text[start : end + 1]) for w in words)
