@@ -30,7 +30,7 @@ from pyspark.sql import functions as F
 from scrivano.session import written
 
 Q, ROWS, SIMILAR, RECALL, SAME = 3, 3, 0.3, 0.98, 0.8
-ESTABLISHED, EDITS, LEAST_SIMILAR = 3, 3, 0.15
+ESTABLISHED, TYPO_RATIO, EDITS, LEAST_SIMILAR = 3, 8, 3, 0.15
 BANDS = math.ceil(math.log(1 - RECALL) / math.log(1 - SIMILAR**ROWS))
 # What is no part of a name.
 TITLES = "dott dr dssa dottssa arch ing geom avv rag sig sigra sigri prof profssa ditta spettle spett impresa gent gentle egr sra on cav mons don".split()
@@ -57,7 +57,7 @@ GIVEN = set(
 SHORT = {
     "pippo": "filippo giuseppe", "nino": "antonio antonino", "tonino": "antonio", "totonno": "antonio", "toni": "antonio", "mimmo": "domenico", "mimma": "domenica", "lino": "pasquale pasqualino angelo",
     "pasqualino": "pasquale", "lena": "maddalena elena", "nella": "antonella ornella", "rina": "caterina", "pina": "giuseppina", "pino": "giuseppe", "peppe": "giuseppe", "beppe": "giuseppe", "tano": "gaetano",
-    "franco": "francesco", "franca": "francesca", "cesco": "francesco", "ciccio": "francesco", "lia": "rosalia clelia", "betta": "elisabetta", "lisa": "elisabetta luisa", "elisa": "elisabetta", "memmo": "guglielmo", "mino": "guglielmo", "lello": "raffaele", "enzo": "vincenzo lorenzo",
+    "franco": "francesco", "franca": "francesca", "cesco": "francesco", "ciccio": "francesco", "lia": "rosalia clelia", "betta": "elisabetta", "lisa": "elisabetta luisa", "elisa": "elisabetta", "memmo": "guglielmo", "memo": "guglielmo", "mino": "guglielmo", "lello": "raffaele", "enzo": "vincenzo lorenzo",
     "sandro": "alessandro", "gigi": "luigi", "gino": "luigi", "luigino": "luigi", "lele": "emanuele", "manuele": "emanuele", "manu": "emanuele", "renzo": "lorenzo", "bortolo": "bartolomeo", "meo": "bartolomeo", "toto": "salvatore", "turi": "salvatore", "salvo": "salvatore",
     "nicolo": "niccolo", "nico": "nicola niccolo", "gianni": "giovanni", "vanni": "giovanni", "rosa": "rosalia", "rita": "margherita", "marga": "margherita", "baldo": "ubaldo", "resi": "teresa", "terry": "teresa", "nora": "ornella eleonora",
     "isa": "elisabetta", "tullietto": "tullio", "cate": "caterina", "cinzia": "caterina", "checco": "francesco", "chicca": "francesca", "dome": "domenico", "menico": "domenico", "lalla": "rosalia", "zino": "vincenzo", "cenzo": "vincenzo",
@@ -191,7 +191,7 @@ def word_similarity(a: str, b: str) -> float:
 def compare(a: list[str], b: list[str], form_a: str, form_b: str, known: dict[str, int] | None = None) -> tuple[float, bool]:
     """Monge-Elkan similarity of two names (0 if they differ), and whether each word has its partner.
 
-    Two words that are each `known` from `ESTABLISHED` spellings are no typos of each other; more than `EDITS` typos in
+    Two words that are each `known` from `ESTABLISHED` spellings, none from many more than the other, are no typos of each other; more than `EDITS` typos in
     a name are none."""
     known = known or {}
     if form_a and form_b and form_a != form_b:
@@ -206,7 +206,10 @@ def compare(a: list[str], b: list[str], form_a: str, form_b: str, known: dict[st
             break
     def similar(x: str, y: str) -> float:
         s = word_similarity(x, y)
-        return 0.0 if s not in (0.0, 0.9, 0.95, 1.0) and min(known.get(x, 0), known.get(y, 0)) >= ESTABLISHED else s
+        if s in (0.0, 0.9, 0.95, 1.0):
+            return s
+        low, high = sorted((known.get(x, 0), known.get(y, 0)))
+        return 0.0 if low >= ESTABLISHED and high < TYPO_RATIO * low else s
 
     edits = 0
     pairs = sorted(((similar(x, y), i, j) for i, x in enumerate(a) for j, y in enumerate(b)), reverse=True)
