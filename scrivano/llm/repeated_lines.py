@@ -3,8 +3,8 @@
 Lines are compared by identifiers of their normal form (outer white space dropped, inner white space one blank, lower
 case, runs of digits equal). A block that spans enough documents consists of lines that each span as many, so rarer lines
 are put aside first and cut each document into runs. All suffixes of the runs, counted where they are equal, are sorted
-per source and first line; the common prefixes of neighbours give the repeated blocks and how often they occur. A line
-goes if it lies in such a block and, by an exact count over all documents of the source, meets the rule itself.
+per source and first two lines, so that a line of a third of all documents is no single group; the common prefixes of
+neighbours give the repeated blocks and how often they occur. A line goes if it lies in such a block and, by an exact count over all documents of the source, meets the rule itself.
 
 A block longer than `LONGEST` lines comes out as overlapping pieces that cover the same lines.
 Defined results: null and empty texts have no lines but their documents count in their source; null is a source of its
@@ -87,11 +87,11 @@ def repeated_lines(docs: DataFrame, key: str = "doc_key", text: str = "text", so
     starts = starts.select("src", "doc", "least", F.col("part.at").alias("ats"), F.col("part.wordy").alias("wordy"), F.col("part.id").alias("suffix"))
     starts = starts.withColumn("sid", F.xxhash64("src", "suffix"))
     table = starts.groupBy("src", "sid").agg(F.first("suffix").alias("suffix"), F.max("least").alias("least"), F.count("*").alias("n"))
-    table = table.withColumn("head", F.col("suffix")[0])
+    table = table.withColumn("head", F.xxhash64(F.slice("suffix", 1, 2)))
 
     def blocks(pdf: pd.DataFrame) -> pd.DataFrame:
         pdf = pdf.assign(suffix=pdf["suffix"].map(tuple)).sort_values("suffix", ignore_index=True)
-        return pd.DataFrame({"sid": pdf["sid"], "depth": block_depths(pdf)}).query("depth > 0")
+        return pd.DataFrame({"sid": pdf["sid"], "depth": [max(1, d) for d in block_depths(pdf)]})  # one line is a block by its own count
 
     depths = table.groupBy("src", "head").applyInPandas(blocks, "sid bigint, depth int")
     covered = starts.select("doc", "sid", F.arrays_zip("ats", "wordy").alias("part")).join(depths, "sid")
