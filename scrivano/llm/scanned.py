@@ -54,7 +54,12 @@ def folded(text: str) -> str:
 
 
 def alike(a: str, b: str) -> bool:
-    return a == b or abs(len(a) - len(b)) <= 3 and min(len(a), len(b)) > 7 and SequenceMatcher(None, a, b, autojunk=False).ratio() >= 0.86
+    if a == b:
+        return True
+    if abs(len(a) - len(b)) > 3 or min(len(a), len(b)) <= 7:
+        return False
+    m = SequenceMatcher(None, a, b, autojunk=False)
+    return m.quick_ratio() >= 0.86 and m.ratio() >= 0.86  # the first is a bound that costs little
 
 
 def page_numbers(lines: list[str], site: set[int]) -> set[int]:
@@ -154,6 +159,15 @@ class Words:
     def __init__(self, counts: dict[str, int], least: int):
         self.counts, self.least = counts, least
         self.right = lru_cache(maxsize=200_000)(self._right)
+        self.ordinary = lru_cache(maxsize=400_000)(self._ordinary)
+
+    def _ordinary(self, w: str) -> bool:
+        """Whether a word stays as it is wherever it stands."""
+        if w.isdigit():
+            return True
+        if len(w) == 1 or FIGURE.fullmatch(w):
+            return False
+        return self.counts.get(w.lower(), 0) * TIMES_MORE > self.least * 400 or self.right(w) is None
 
     def _right(self, word: str) -> str | None:
         w = word.lower()
@@ -198,7 +212,7 @@ def examine(text: str, site: set[int], title: str, words: Words) -> tuple[list[t
     out = {i: lines[i] for i in [*running, *heads]}
     misread, joined = set(), {}
     for i, j in zip(running, [*running[1:], None]):
-        m = BROKEN.search(lines[i])
+        m = BROKEN.search(lines[i]) if lines[i][-1] in BREAKS else None
         if not m or j is None:
             continue
         n = WORD.match(lines[j])
@@ -224,6 +238,8 @@ def examine(text: str, site: set[int], title: str, words: Words) -> tuple[list[t
     first_of = {j for j, _ in joined.values()}
     for i in out:
         s = lines[i]
+        if all(map(words.ordinary, WORD.findall(s))):
+            continue
         spans = [x.span() for x in WORD.finditer(s)]
         skip = {spans[0][0]} if i in first_of and spans else set()
         if i in joined and spans:
@@ -231,7 +247,7 @@ def examine(text: str, site: set[int], title: str, words: Words) -> tuple[list[t
 
         def repair(m: re.Match, i: int = i, s: str = s, skip: set[int] = skip) -> str:
             w = m[0]
-            if m.start() in skip or w.isdigit():
+            if words.ordinary(w) or m.start() in skip:
                 return w
             around = s[max(0, m.start() - 1) : m.start()] + s[m.end() : m.end() + 1]
             if "@" in around or "_" in around or len(w) == 1 and (w != "c" or around not in (" ", "  ")):
