@@ -10,7 +10,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql.types import ArrayType, StringType
 
-from scrivano.functions.text import col, tokens
+from scrivano.functions.text import col, compact, tokens
 
 SIZE, OVERLAP, TOP, LEAST_CHARS, BLOCK = 3000, 300, 6, 50, 2048
 SEPARATORS = ("\n\n", "\n", ".", " ")
@@ -62,9 +62,10 @@ def split_texts(texts: Iterator[pd.Series]) -> Iterator[pd.Series]:
         yield s.map(split_text, na_action="ignore")
 
 
-def recursive_chunks(docs: DataFrame, key: str, text: str = "text") -> DataFrame:
+def recursive_chunks(docs: DataFrame, key: str, text: str = "text", keep: tuple[str, ...] = ()) -> DataFrame:
+    """(`key`, the columns `keep`, chunk_no, chunk) parts by the coarsest separators; texts under 50 characters give none."""
     docs = docs.filter(F.length(text) >= LEAST_CHARS)
-    return docs.select(key, F.posexplode(split_texts(text)).alias("chunk_no", "chunk")).withColumn("chunk_no", F.col("chunk_no").cast("bigint"))
+    return docs.select(key, *keep, F.posexplode(split_texts(text)).alias("chunk_no", "chunk")).withColumn("chunk_no", F.col("chunk_no").cast("bigint"))
 
 
 def prefixed(subject: Column, cig: Column, cup: Column, chunk: Column) -> Column:
@@ -74,6 +75,12 @@ def prefixed(subject: Column, cig: Column, cup: Column, chunk: Column) -> Column
     return F.when(head == "", chunk).otherwise(F.concat(head, F.lit(".\n\n"), chunk))
 
 
+def prefixed_chunks(docs: DataFrame, key: str, text: str = "text", subject: str = "oggetto", cig: str = "cig", cup: str = "cup") -> DataFrame:
+    """(`key`, chunk_no, chunk): every recursive chunk of every text, each with its act's subject and codes before it."""
+    parts = recursive_chunks(docs, key, text, (subject, cig, cup))
+    return parts.select(key, "chunk_no", prefixed(F.nullif(compact(subject), F.lit("N/D")), F.col(cig), F.col(cup), F.col("chunk")).alias("chunk"))
+
+
 def overlap_search(questions: DataFrame, question: str, docs: DataFrame, key: str, text: str = "text", query_key: str = "question_id", top: int = TOP) -> DataFrame:
     """Rows with most tokens in common with each question, ties by key. Tokens of questions that no text has, and of texts
     that no question has, are dropped before the join; counts are combined before they are shuffled."""

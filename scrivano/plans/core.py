@@ -454,10 +454,17 @@ WITH h AS (SELECT doc_key, substring(coalesce(text, ''), 1, 3000) AS c, array_to
 SELECT doc_key, CASE WHEN p = '' THEN c ELSE p || '.' || chr(10) || chr(10) || c END AS chunk FROM h"""
 )
 def chunk_prefix(spark: SparkSession, d: str) -> DataFrame:
+    """The first chunk only, as its SQL; chunk_prefix_all has every chunk."""
     first = F.substring(F.coalesce("text", F.lit("")), 1, retrieval.SIZE)  # the first chunk of the act
     return table(spark, d, "documenti_corpus").select("doc_key", retrieval.prefixed(F.col("oggetto"), F.col("cig"), F.col("cup"), first).alias("chunk"))
 
 
+@query()
+def chunk_prefix_all(spark: SparkSession, d: str) -> DataFrame:
+    """Every chunk of every act, each with the act's subject and codes before it."""
+    return retrieval.prefixed_chunks(table(spark, d, "documenti_corpus"), "doc_key")
+
+
 _SEARCH = f"""
 WITH q AS (SELECT atto_id AS question_id, unnest({TOKENS.format("oggetto")}) AS token FROM albo_metadati WHERE atto_id % 20 = 0), t AS (SELECT doc_key, unnest({TOKENS.format("text")}) AS token FROM documenti_corpus),
 h AS (SELECT question_id, doc_key, count(*) AS overlap FROM q JOIN t USING (token) GROUP BY 1, 2), r AS (SELECT *, row_number() OVER (PARTITION BY question_id ORDER BY overlap DESC, doc_key) AS rank FROM h)"""
