@@ -362,12 +362,18 @@ _LISTED = "CASE WHEN s = '' THEN [] WHEN s LIKE '[\"%' THEN from_json(s, '[\"VAR
 
 @query(f"SELECT atto_id, unnest({_LISTED}) AS allegato FROM (SELECT atto_id, trim(coalesce(allegati, '')) AS s FROM albo_metadati) WHERE s NOT LIKE '[''%' AND (s NOT LIKE '[%' OR s LIKE '[\"%\"]')")
 def listed_attachments(spark: SparkSession, d: str) -> DataFrame:
-    """The simple reading of list fields: JSON lists, `;` and `|`."""
+    """The simple reading of list fields: JSON lists, `;` and `|`. Only the fields that its SQL can read; listed_attachments_all has every notice."""
     s = F.trim(F.coalesce("allegati", F.lit("")))
     rows = table(spark, d, "albo_metadati").filter(~s.startswith("['") & (~s.startswith("[") | (s.startswith('["') & s.endswith('"]'))))
     return rows.select("atto_id", F.explode(arrays.listed("allegati")).alias("allegato"))
 
 
+@query()
+def listed_attachments_all(spark: SparkSession, d: str) -> DataFrame:
+    """The simple reading of the list field of every notice, lists in Python's form and lists that never close too."""
+    return table(spark, d, "albo_metadati").select("atto_id", F.explode(arrays.listed("allegati")).alias("allegato"))
+
+
 @query()
 def notice_keys(spark: SparkSession, d: str) -> DataFrame:
     rows = table(spark, d, "albo_metadati")

@@ -1,5 +1,8 @@
 """Queries that must take in every row and the whole of each text."""
 
+import ast
+from collections import Counter
+
 from scrivano.operators import retrieval
 from scrivano.plans import core
 
@@ -11,3 +14,19 @@ def test_every_chunk_has_the_prefix(spark, tmp_path):
     got = [tuple(r) for r in core.QUERIES["chunk_prefix_all"](spark, str(tmp_path)).orderBy("doc_key", "chunk_no").collect()]
     parts = retrieval.split_text(long)
     assert len(parts) > 3 and got == [(1, i, "Oggetto: Lavori di scavo. CIG: C1.\n\n" + p) for i, p in enumerate(parts)] + [(2, 0, "breve " * 10)]
+
+
+def literal(field):
+    """The list of a field by brute force."""
+    s = (field or "").strip()
+    try:
+        return ast.literal_eval(s)
+    except (SyntaxError, ValueError):
+        return next(([p.strip() for p in s.split(c) if p.strip()] for c in ";|" if c in s), [s] if s else [])
+
+
+def test_every_notice_is_listed(spark, tmp_path):
+    fields = ["['a.pdf', 'b; c.pdf']", "[\"l'a.pdf\", 'b.pdf']", "['a.pdf', 'b.pdf'", '["a.pdf", "b.pdf"', '["a.pdf", "b|c.pdf"]', "a.pdf; b.pdf ;", "a.pdf|b.pdf", "a.pdf", "[]", " ", None]
+    spark.createDataFrame(list(enumerate(fields)), "atto_id bigint, allegati string").write.parquet(str(tmp_path / "albo_metadati.parquet"))
+    got = Counter(tuple(r) for r in core.QUERIES["listed_attachments_all"](spark, str(tmp_path)).collect())
+    assert got == Counter((i, v) for i, f in enumerate(fields) for v in literal(f))
