@@ -48,11 +48,18 @@ def text_forest(text: str, label: str, words: int = 3000, trees: int = 200, seed
         stages=[
             StringIndexer(inputCol=label, outputCol="_y", handleInvalid="skip"), RegexTokenizer(inputCol=text, outputCol="_w", pattern=r"[\p{L}\p{N}_]{2,}", gaps=False), NGram(n=2, inputCol="_w", outputCol="_2"),
             SQLTransformer(statement="SELECT *, concat(_w, _2) AS _t FROM __THIS__"), CountVectorizer(inputCol="_t", outputCol="_c", vocabSize=words, minDF=2, maxDF=0.8), IDF(inputCol="_c", outputCol="_i"), Normalizer(inputCol="_i", outputCol="_x"),
-            RandomForestClassifier(labelCol="_y", featuresCol="_x", predictionCol="_p", probabilityCol="_prob", numTrees=trees, seed=seed, maxDepth=depth, featureSubsetStrategy="sqrt"),
+            RandomForestClassifier(labelCol="_y", featuresCol="_x", predictionCol="_p", probabilityCol="_prob", numTrees=trees, seed=seed, maxDepth=depth, featureSubsetStrategy="sqrt", maxMemoryInMB=48),
         ]
     )
 
 
+def fitted_balanced(forest: Pipeline, rows: DataFrame, label: str, key: str) -> PipelineModel:
+    """`forest` with its words fitted on `rows` as they are, and its trees on the rows of each label repeated until all labels have as many."""
+    words = Pipeline(stages=forest.getStages()[:-1]).fit(rows)
+    balanced = oversampled(words.transform(rows).select(key, label, "_y", "_x"), label, key)
+    return PipelineModel([*words.stages, forest.getStages()[-1].fit(balanced)])
+
+
 def predicted(model: PipelineModel, df: DataFrame, keep: list[str]) -> DataFrame:
     """Label and its probability for each row, seen labels or not."""
     labels = model.stages[0].labels

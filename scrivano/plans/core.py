@@ -598,11 +598,12 @@ def threshold_relabel(spark: SparkSession, d: str) -> DataFrame:
 
 @query()
 def forest_labels(spark: SparkSession, d: str) -> DataFrame:
-    """Documents without a sure category, labelled by a random forest over TF-IDF that is trained on a bounded sample of the sure ones."""
+    """Documents without a sure category, labelled by a random forest over TF-IDF that is trained on a bounded sample of the sure ones, each label as often."""
     sure = table(spark, d, "allegati_parsed").filter("classification_confidence = 'high'").select("pdf_name").distinct()
     docs = table(spark, d, "documenti_corpus").filter("text is not null").select("doc_key", "pdf_name", "category", text.normalized("text").alias("text"))
     labelled = docs.join(sure, "pdf_name", "left_semi").filter("category is not null")
-    model = ml.text_forest("text", "category", trees=40, depth=8).fit(ml.split_stratified(bounded(labelled, "doc_key"), "category", "doc_key").filter("train").select("text", "category"))
+    train = ml.split_stratified(bounded(labelled, "doc_key"), "category", "doc_key").filter("train").select("doc_key", "text", "category")
+    model = ml.fitted_balanced(ml.text_forest("text", "category"), train, "category", "doc_key")
     rest = docs.join(sure, "pdf_name", "left_anti").select("doc_key", "text")
     out = ml.predicted(model, rest, ["doc_key"])
     return out.select("doc_key", "predicted", F.round("predicted_confidence", 6).alias("predicted_confidence"), ml.relabelled("predicted", "predicted_confidence").alias("final_category"))

@@ -3,7 +3,7 @@
 import ast
 from collections import Counter
 
-from scrivano.operators import retrieval
+from scrivano.operators import ml, retrieval
 from scrivano.plans import core
 
 
@@ -30,3 +30,27 @@ def test_every_notice_is_listed(spark, tmp_path):
     spark.createDataFrame(list(enumerate(fields)), "atto_id bigint, allegati string").write.parquet(str(tmp_path / "albo_metadati.parquet"))
     got = Counter(tuple(r) for r in core.QUERIES["listed_attachments_all"](spark, str(tmp_path)).collect())
     assert got == Counter((i, v) for i, f in enumerate(fields) for v in literal(f))
+
+
+def test_forest_sees_each_label_as_often(spark):
+    rows = [(i, "scavo strada" if i % 2 else "nido mensa", "a" if i < 40 else "b") for i in range(44)]  # words that say nothing of the label
+    df = spark.createDataFrame(rows, "id int, text string, y string")
+    forest = ml.text_forest("text", "y", trees=20, depth=3)
+    model = ml.fitted_balanced(forest, df, "y", "id")
+    share = {m: m.transform(df).first()["_prob"][m.stages[0].labels.index("b")] for m in (model, forest.fit(df))}
+    assert 0.3 < share.pop(model) < 0.7 and share.popitem()[1] < 0.3
+
+
+def test_forest_of_the_query_is_whole(spark, monkeypatch):
+    """The query takes the operator's own number of trees and depth, and balanced rows."""
+    asked, whole = [], ml.text_forest
+
+    def small(*args, **kwargs):
+        asked.append((args, kwargs))
+        return whole(*args, **kwargs, words=50, trees=2, depth=2) if not kwargs else whole(*args, **kwargs)
+
+    balanced = []
+    monkeypatch.setattr(ml, "text_forest", small)
+    monkeypatch.setattr(ml, "oversampled", lambda *a, f=ml.oversampled: balanced.append(a[1]) or f(*a))
+    core.QUERIES["forest_labels"](spark, "/root/testdata/sf0.001")
+    assert asked == [(("text", "category"), {})] and balanced == ["category"]
