@@ -54,3 +54,8 @@ def test_forest_of_the_query_is_whole(spark, monkeypatch):
     monkeypatch.setattr(ml, "oversampled", lambda *a, f=ml.oversampled: balanced.append(a[1]) or f(*a))
     core.QUERIES["forest_labels"](spark, "/root/testdata/sf0.001")
     assert asked == [(("text", "category"), {})] and balanced == ["category"]
+
+
+def test_first_notices_gather_no_whole_page(spark):
+    plan = core.QUERIES["first_notices_of_pages"](spark, "/root/testdata/sf0.001")._jdf.queryExecution().toString()
+    assert "WindowGroupLimit" in plan and "collect_list" not in plan
