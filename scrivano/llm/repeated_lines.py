@@ -1,102 +1,137 @@
 """Lines that come back in document after document of one source.
 
 Lines are compared by identifiers of their normal form (outer white space dropped, inner white space one blank, lower
-case, runs of digits equal). A block that spans enough documents consists of lines that each span as many, so rarer lines
-are put aside first and cut each document into runs. All suffixes of the runs, counted where they are equal, are sorted
-per source and first two lines, so that a line of a third of all documents is no single group; the common prefixes of
-neighbours give the repeated blocks and how often they occur. A line goes if it lies in such a block and, by an exact count over all documents of the source, meets the rule itself.
+case, runs of digits equal); blank lines are passed over. What is sorted are the suffixes of the concatenated identifiers
+of each source, `LONGEST` lines of each: within a document in the task that reads it, over all documents by ranges of
+(source, suffix), so that a source or a line of a third of all documents is spread over many tasks. Suffixes with a common
+prefix are neighbours then: a stretch of neighbours that share d lines is a block of d lines, in whatever documents it stands.
 
-A block longer than `LONGEST` lines comes out as overlapping pieces that cover the same lines.
+A block has to span enough different documents. Of the suffixes of one document that begin with the same d lines only the
+first in order counts, which its common prefix with the suffix before it in the document tells; so the sum over a stretch
+is the number of documents. Blocks that span enough are deleted wherever they stand; no line goes that is in no block.
+
+A block longer than `LONGEST` comes out as overlapping pieces that cover the same lines.
 Defined results: null and empty texts have no lines but their documents count in their source; null is a source of its
-own; a line that stands twice in a document counts once; ties at the thresholds are cases.
+own; a line that stands twice in a document counts once; ties at the thresholds are cases; two rows with one key are two
+documents, but each line comes out once.
 """
 
 from __future__ import annotations
 
-import pandas as pd
+from collections.abc import Iterator
+
+import numpy as np
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from scrivano.session import written
 
-LEAST_DOCUMENTS, LEAST_SHARE, LEAST_LETTERS, LONGEST = 5, 0.05, 10, 64
+LEAST_DOCUMENTS, LEAST_SHARE, LEAST_LETTERS, LONGEST = 5, 0.05, 10, 4
 BROADCAST_LINES = 200_000
-
-
-def normal_line(line: str | Column) -> Column:
-    """What two equal lines have in common."""
-    c = F.regexp_replace(line, r"(?U)\s+", " ")
-    return F.regexp_replace(F.lower(F.regexp_replace(c, r"^ | $", "")), r"\p{Nd}+", "0")
-
-
-def block_depths(pdf: pd.DataFrame) -> list[int]:
-    """For the sorted, distinct suffixes of a group, the longest prefix that occurs at least `least` times.
-
-    Neighbours with a common prefix of length k lie in one interval of the suffix array; a stack of open intervals gives
-    each its number of occurrences, and each suffix takes the deepest interval that suffices."""
-    suffixes, counts, least = pdf["suffix"].tolist(), pdf["n"].tolist(), float(pdf["least"].iloc[0])
-    common = [0]
-    for a, b in zip(suffixes, suffixes[1:]):
-        k = 0
-        for x, y in zip(a, b):
-            if x != y:
-                break
-            k += 1
-        common.append(k)
-    common.append(0)
-    before = [0]
-    for n in counts:
-        before.append(before[-1] + n)
-    depth = [len(s) if n >= least else 0 for s, n in zip(suffixes, counts)]
-    stack: list[tuple[int, int]] = []
-    for i, k in enumerate(common):
-        start = i - 1
-        while stack and stack[-1][0] > k:
-            d, start = stack.pop()
-            if before[i] - before[start] >= least:
-                for j in range(start, i):
-                    if depth[j] < d:
-                        depth[j] = d
-        if k and (not stack or stack[-1][0] < k):
-            stack.append((k, start))
-    return depth
+DOCUMENTS_AT_ONCE, BITS = 30_000, 15  # so many documents fit into one of four counts of a number
+SPACE = r"\t\x0B\f\r\x{85}\xA0\x{1680}\x{2000}-\x{200A}\x{2028}\x{2029}\x{202F}\x{205F}\x{3000}"
+
+
+def normal_lines(text: Column) -> Column:
+    """What equal lines have in common, for each line of a text."""
+    c = F.regexp_replace(text, rf"[ {SPACE}]{{2,}}|[{SPACE}]", " ")
+    c = F.regexp_replace(F.lower(c), r"\p{Nd}{2,}|[\p{Nd}&&[^0]]", "0")
+    return F.transform(F.split(c, "\n"), lambda x: F.trim(x))
+
+
+def common_prefixes(suffixes: np.ndarray, apart: np.ndarray) -> np.ndarray:
+    """Lines that each sorted suffix has in common with the one before it; none where the two are `apart`."""
+    equal = (suffixes[1:] == suffixes[:-1]) & (suffixes[1:] != 0) & ~apart[1:, None]
+    return np.concatenate([[0], np.logical_and.accumulate(equal, axis=1).sum(axis=1)]).astype(int)
+
+
+def document_suffixes(source: np.ndarray, lengths: np.ndarray, ids: np.ndarray, longest: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Different suffixes of some documents: source, lines (0 after the end), and for each number of lines the documents of
+    which the suffix is the first with these lines."""
+    doc = np.repeat(np.arange(len(lengths)), lengths)
+    suffix = np.zeros((len(ids), longest), np.int64)
+    for k in range(longest):
+        rest = max(len(ids) - k, 0)
+        within = doc[k:] == doc[:rest]
+        suffix[:rest, k] = np.where(within, ids[k:], 0)
+    order = np.lexsort((*suffix.T[::-1], doc))
+    suffix, doc = suffix[order], doc[order]
+    shared = common_prefixes(suffix, np.concatenate([[True], doc[1:] != doc[:-1]]) if len(doc) else np.zeros(0, bool))
+    depth = np.arange(1, longest + 1)
+    first = (shared[: len(doc), None] < depth) & (suffix != 0)
+    some = first.any(axis=1)
+    suffix, source, first = suffix[some], source[doc[some]], first[some]
+    order = np.lexsort((*suffix.T[::-1], source))
+    suffix, source, first = suffix[order], source[order], first[order].astype(np.int64)
+    if not len(source):
+        return source, suffix, first
+    new = np.concatenate([[True], (source[1:] != source[:-1]) | (suffix[1:] != suffix[:-1]).any(axis=1)])
+    return source[new], suffix[new], np.add.reduceat(first, np.flatnonzero(new))
+
+
+def stretches(source: np.ndarray, suffix: np.ndarray, first: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Blocks of a piece of the suffix array: source, lines (0 after the end), documents. Given are the blocks that span
+    `LEAST_DOCUMENTS`, and those at the ends of the piece, which may go on beyond it."""
+    shared = common_prefixes(suffix, np.concatenate([[True], source[1:] != source[:-1]]))
+    out = []
+    for d in range(1, suffix.shape[1] + 1):
+        start = np.flatnonzero(shared < d)
+        docs = np.add.reduceat(first[:, d - 1], start)
+        good = docs >= LEAST_DOCUMENTS
+        good[0] = good[-1] = True
+        good &= (suffix[start, d - 1] != 0) & (docs > 0)
+        lines = suffix[start[good]].copy()
+        lines[:, d:] = 0
+        out.append((source[start[good]], lines, docs[good]))
+    return tuple(np.concatenate(x) for x in zip(*out))
+
+
+def blocks(docs: DataFrame, longest: int = LONGEST) -> DataFrame:
+    """(src, lines, docs) of the blocks of documents (src, ids) that span at least `LEAST_DOCUMENTS` of a source."""
+    if not 0 < longest * BITS < 64:
+        raise ValueError("blocks have one to four lines")
+    names = [f"s{k}" for k in range(longest)]
+
+    def suffixes(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for at in range(0, len(batch), DOCUMENTS_AT_ONCE):
+                part = batch.slice(at, DOCUMENTS_AT_ONCE)
+                lists = part.column(1)
+                lengths = np.diff(lists.offsets.to_numpy())
+                source, suffix, first = document_suffixes(part.column(0).to_numpy(), lengths, lists.flatten().to_numpy(), longest)
+                packed = (first << (BITS * np.arange(longest))).sum(axis=1)
+                yield pa.RecordBatch.from_arrays([pa.array(x) for x in (source, *suffix.T, packed)], names=["src", *names, "first"])
+
+    def neighbours(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            if len(batch):
+                source, *suffix, packed = (c.to_numpy() for c in batch.columns)
+                first = (packed[:, None] >> (BITS * np.arange(longest))) & ((1 << BITS) - 1)
+                source, lines, spanned = stretches(source, np.stack(suffix, axis=1), first)
+                yield pa.RecordBatch.from_arrays([pa.array(x) for x in (source, *lines.T, spanned)], names=["src", *names, "docs"])
+
+    columns = ", ".join(f"{n} bigint" for n in ["src", *names])
+    array = docs.select("src", "ids").mapInArrow(suffixes, f"{columns}, first bigint")
+    array = array.repartitionByRange("src", *names).sortWithinPartitions("src", *names)
+    found = array.mapInArrow(neighbours, f"{columns}, docs bigint").groupBy("src", *names).agg(F.sum("docs").alias("docs"))
+    return found.filter(F.col("docs") >= LEAST_DOCUMENTS).select("src", F.filter(F.array(*names), lambda x: x != 0).alias("lines"), "docs")
 
 
 def repeated_lines(docs: DataFrame, key: str = "doc_key", text: str = "text", source: str = "ente") -> DataFrame:
     """(`key`, riga) of each line to be removed."""
-    def line(x: Column, at: Column) -> Column:
-        norm = normal_line(x)
-        wordy = F.length(F.regexp_replace(norm, r"[^\p{L}]+", "")) >= LEAST_LETTERS
-        return F.struct(at.alias("at"), F.when(norm != "", F.xxhash64(norm)).alias("id"), wordy.alias("wordy"))
-
-    docs = docs.select(F.col(key).alias("doc"), F.xxhash64(source).alias("src"), F.transform(F.split(text, "\n"), line).alias("lines"))
+    letters = rf"(?:\p{{L}}[^\p{{L}}]*+){{{LEAST_LETTERS}}}"
+    line = lambda x, at: F.struct(at.alias("at"), F.when(x != "", F.xxhash64(x)).alias("id"), x.rlike(letters).alias("wordy"))
+    docs = docs.select(F.col(key).alias("doc"), F.xxhash64(source).alias("src"), F.transform(normal_lines(F.col(text)), line).alias("lines"))
     docs = written(docs.select("doc", "src", F.filter("lines", lambda x: x["id"].isNotNull()).alias("lines")), "lines")
-    total = docs.groupBy("src").agg(F.count("*").alias("docs"))
-    once = docs.select("src", F.inline(F.array_distinct(F.transform("lines", lambda x: F.struct(x["id"].alias("id"), x["wordy"].alias("wordy"))))))
-    spread = once.groupBy("src", "id", "wordy").agg(F.count("*").alias("n"))
-    lines = docs.select("src", "doc", F.inline("lines")).select("src", "doc", "at", "id")
-    least = F.greatest(F.lit(LEAST_DOCUMENTS), F.ceil(F.col("docs") * LEAST_SHARE))
-    frequent = written(spread.filter(F.col("n") >= LEAST_DOCUMENTS).join(total, "src").withColumn("least", least).filter("n >= least").select("src", "id", "wordy", "least"), "frequent")
-    small = frequent.count() <= BROADCAST_LINES
-    runs = lines.join(F.broadcast(frequent) if small else frequent, ["src", "id"])
-    order = F.array_sort(F.collect_list(F.struct("at", "id", "wordy")))
-    runs = written(runs.groupBy("src", "doc").agg(F.max("least").alias("least"), order.alias("own")), "runs")
-    nexts = F.expr(f"transform(sequence(1, size(own)), i -> struct(i, slice(own, i, {LONGEST}) as part))")
-    joined = "filter(part, (x, k) -> x.at = part[0].at + k)"  # up to the first gap: lines after it cannot be as near
-    starts = runs.select("src", "doc", "least", F.inline(nexts).alias("i", "part")).select("src", "doc", "least", F.expr(joined).alias("part"))
-    starts = starts.select("src", "doc", "least", F.col("part.at").alias("ats"), F.col("part.wordy").alias("wordy"), F.col("part.id").alias("suffix"))
-    starts = starts.withColumn("sid", F.xxhash64("src", "suffix"))
-    table = starts.groupBy("src", "sid").agg(F.first("suffix").alias("suffix"), F.max("least").alias("least"), F.count("*").alias("n"))
-    table = table.withColumn("head", F.xxhash64(F.slice("suffix", 1, 2)))
-
-    def blocks(pdf: pd.DataFrame) -> pd.DataFrame:
-        pdf = pdf.assign(suffix=pdf["suffix"].map(tuple)).sort_values("suffix", ignore_index=True)
-        return pd.DataFrame({"sid": pdf["sid"], "depth": [max(1, d) for d in block_depths(pdf)]})  # one line is a block by its own count
-
-    depths = table.groupBy("src", "head").applyInPandas(blocks, "sid bigint, depth int")
-    covered = starts.select("doc", "sid", F.arrays_zip("ats", "wordy").alias("part")).join(depths, "sid")
-    covered = covered.select("doc", F.inline(F.expr("slice(part, 1, depth)"))).filter("wordy")
-    return covered.select(F.col("doc").alias(key), (F.col("ats") + 1).cast("bigint").alias("riga")).distinct()
+    total = docs.groupBy("src").agg(F.count("*").alias("total"))
+    spanning = blocks(docs.filter("size(lines) > 0").select("src", F.col("lines.id").alias("ids")))
+    spanning = spanning.join(total, "src").filter(F.col("docs") >= F.col("total") * LEAST_SHARE)
+    gone = written(spanning.select("src", F.explode("lines").alias("id")).distinct(), "blocks")
+    small = gone.count() <= BROADCAST_LINES
+    lines = docs.select("src", "doc", F.inline("lines")).filter("wordy").select("src", "doc", "at", "id")
+    found = lines.join(F.broadcast(gone) if small else gone, ["src", "id"])
+    return found.select(F.col("doc").alias(key), (F.col("at") + 1).cast("bigint").alias("riga")).distinct()
 
 
 def without_repeated(docs: DataFrame, key: str = "doc_key", text: str = "text", source: str = "ente") -> DataFrame:

@@ -29,6 +29,24 @@ def test_one_foreign_word_in_a_latin_text(spark):
     assert pairs(spark, ["Повідомлення для мешканців", "Повідомлення для мешканцiв"]) == [(0, 1)]
 
 
+def test_the_dominant_script_comes_first():
+    assert lookalike.repaired("сорa", "latin") == ["сора", "copa"]  # three Cyrillic letters, one Latin
+    assert lookalike.repaired("cоpa", "cyrillic") == ["copa", "сора"]
+    assert lookalike.repaired("Νе", "latin") == ["Ne"]  # Greek and Cyrillic in an Italian text
+    assert lookalike.repaired("Αθήνa", "latin") == []  # no Greek letter looks like a small a
+    assert lookalike.repaired("Oδός", "greek") == ["Οδός"]
+    assert lookalike.repaired("luna", "latin") == lookalike.repaired("μ", "latin") == []
+
+
+def test_forms_must_be_words_of_the_corpus(spark):
+    ukrainian = "робота має сора і плани на рік"
+    assert pairs(spark, [ukrainian, "робота має сорa і плани на рік"]) == [(0, 1)]
+    assert pairs(spark, ["una copa di vino", "una сорa di vino"]) == [(0, 1)]  # Latin, for the Cyrillic form is no word
+    assert pairs(spark, ["una сорa di vino", "una соpа di vino"]) == []  # no text has the word
+    assert pairs(spark, ["Οδός Ερμού", "Oδός Ερμού"]) == [(0, 1)]
+    assert pairs(spark, ["плани і робота", "плани i робота"]) == [(0, 1)]
+
+
 def test_defined_results(spark):
     assert pairs(spark, [None, "", " ", " ", "​", "a", "a"]) == []
     assert lookalike.same_look(spark.createDataFrame([], "doc_id bigint, text string")).count() == 0
@@ -84,8 +102,39 @@ def test_long_runs_of_repeated_lines(spark):
     assert repeated_lines.repeated_lines(df).count() == 900
 
 
-def test_block_depths():
-    import pandas as pd
+def test_blocks_come_from_common_prefixes():
+    import numpy as np
+
+    ids = np.array([1, 2, 3] * 5 + [1, 2, 9, 1], np.int64)  # five documents of three lines, one of four
+    source, suffix, first = repeated_lines.document_suffixes(np.zeros(6, np.int64), np.array([3, 3, 3, 3, 3, 4]), ids, 3)
+    got = {tuple(int(x) for x in b if x): int(n) for b, n in zip(*repeated_lines.stretches(source, suffix, first)[1:])}
+    assert {b: n for b, n in got.items() if n >= 5} == {(1,): 6, (1, 2): 6, (1, 2, 3): 5, (2,): 6, (2, 3): 5, (3,): 5}
+
+
+def test_without_common_prefixes_there_are_no_blocks(spark, monkeypatch):
+    import numpy as np
 
-    s = [("a",), ("a", "b"), ("a", "b", "c"), ("a", "b", "d"), ("b",)]
-    assert repeated_lines.block_depths(pd.DataFrame({"suffix": s, "n": [1, 1, 2, 2, 9], "least": 5})) == [1, 2, 2, 2, 1]
+    monkeypatch.setattr(repeated_lines, "common_prefixes", lambda suffixes, apart: np.zeros(len(suffixes), int))
+    rows = [(np.array([4, 4, 4, 4, 4, 4]), np.ones(6, int), np.array([5, 6, 7, 8, 9, 5]))]
+    for source, lengths, ids in rows:
+        source, suffix, first = repeated_lines.document_suffixes(source, lengths, ids, 1)
+        assert max(repeated_lines.stretches(np.repeat(source, 5), np.repeat(suffix, 5, axis=0), np.repeat(first, 5, axis=0))[2]) < 5
+
+
+def test_blocks_over_pieces_of_the_array(spark):
+    text = "\n".join(f"riga comune {chr(97 + i)}" for i in range(12))
+    docs = [(k, "a" if k % 3 else "b", text if k % 2 else f"{text}\nriga propria {chr(97 + k % 26)}{chr(97 + k // 26)}") for k in range(120)]
+    df = spark.createDataFrame(docs, "doc_key bigint, ente string, text string")
+    spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", "7")
+    try:
+        got = set(map(tuple, repeated_lines.repeated_lines(df.repartition(6)).collect()))
+    finally:
+        spark.conf.unset("spark.sql.execution.arrow.maxRecordsPerBatch")
+    assert got == brute(docs)
+
+
+def test_repeated_rows_and_one_line_texts(spark):
+    docs = [(k % 4, "a", "riga che ritorna sempre") for k in range(8)]
+    assert brute(docs) == set()  # four keys; as rows they are eight documents
+    df = spark.createDataFrame(docs, "doc_key bigint, ente string, text string")
+    assert repeated_lines.repeated_lines(df).count() == 4
