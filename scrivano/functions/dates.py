@@ -30,11 +30,16 @@ def first_of(c: str | Column, *patterns: str, group: int = 1) -> Column:
     return F.coalesce(*(F.nullif(F.regexp_extract(F.coalesce(col(c), F.lit("")), p, group), F.lit("")) for p in patterns))
 
 
+# How titles and file names write dates and numbers.
+DATES = (r"\b([0-9]{2}/[0-9]{2}/[0-9]{4}|20[0-9]{2}-[0-9]{2}-[0-9]{2})\b", r"\b(20[0-9]{2})\b")
+NUMBERS = (r"(?i)\b(?:n\.|numero|copia|originale)[_\s-]*([0-9]{1,6})\b", r"_([0-9]{1,6})_20[0-9]{2}\b", r"\b([0-9]{1,6})/20[0-9]{2}\b")
+
+
 def infer_date(c: str | Column) -> Column:
     """First full date of a text, else its first year."""
-    return first_of(c, r"\b([0-9]{2}/[0-9]{2}/[0-9]{4}|20[0-9]{2}-[0-9]{2}-[0-9]{2})\b", r"\b(20[0-9]{2})\b")
+    return first_of(c, *DATES)
 
 
 def infer_number(c: str | Column) -> Column:
     """Number of an act in a title or file name."""
-    return first_of(c, r"(?i)\b(?:n\.|numero|copia|originale)[_\s-]*([0-9]{1,6})\b", r"_([0-9]{1,6})_20[0-9]{2}\b", r"\b([0-9]{1,6})/20[0-9]{2}\b")
+    return first_of(c, *NUMBERS)

@@ -278,8 +278,8 @@ def accounting_relevance(spark: SparkSession, d: str) -> DataFrame:
     rf"""
 WITH t AS (SELECT doc_key, {NORM.format("text")} AS t FROM documenti_corpus)
 SELECT doc_key, upper(nullif(regexp_extract(t, '(?i)\bC\.?I\.?G\.?[\s:\-]*([A-Z0-9]{{10}})\b', 1), '')) AS cig, upper(nullif(regexp_extract(t, '(?i)\bC\.?U\.?P\.?[\s:\-]*([A-Z0-9]{{15}})\b', 1), '')) AS cup,
- nullif(regexp_extract(t, '(?i)N\.\s*(\d+)\s*DEL\s*\d{{2}}/\d{{2}}/\d{{4}}', 1), '') AS numero_atto, nullif(regexp_extract(t, '(?i)N\.\s*\d+\s*DEL\s*(\d{{2}}/\d{{2}}/\d{{4}})', 1), '') AS data_atto,
- nullif(regexp_extract(t, '(?i)(?:Capitolo\s+Quinti\s+Livello|capitolo)\s*[:\s]*([\d.]+)', 1), '') AS capitolo, nullif(regexp_extract(t, '(?i)(?:N\.\s+Impegno\s+Definitivo|impegno\s+n\.|impegno)\s*[:\s]*(\d+)', 1), '') AS impegno_num FROM t"""
+ nullif(regexp_extract(t, '(?i)N\.\s*(\d+)\s*DEL\s*(\d{{2}}/\d{{2}}/\d{{4}})', 1), '') AS numero_atto, nullif(regexp_extract(t, '(?i)N\.\s*(\d+)\s*DEL\s*(\d{{2}}/\d{{2}}/\d{{4}})', 2), '') AS data_atto,
+ nullif(regexp_extract(t, '(?i)(?:capitolo|Capitolo\s+Quinti\s+Livello)\s*[:\s]*([\d.]+)', 1), '') AS capitolo, nullif(regexp_extract(t, '(?i)(?:impegno|impegno\s+n\.|N\.\s+Impegno\s+Definitivo)\s*[:\s]*(\d+)', 1), '') AS impegno_num FROM t"""
 )
 def act_fields(spark: SparkSession, d: str) -> DataFrame:
     docs = table(spark, d, "documenti_corpus").select("doc_key", text.normalized("text").alias("t"))
