@@ -1,12 +1,19 @@
 """Variant spellings of people, firms and bodies.
 
 1. Each different string is reduced to its words: titles, legal forms and further data (addresses, numbers, mail) are set
-   apart; strings with the same words, in any order, are one node.
-2. Candidates: MinHash over padded q-grams of a node's distinctive words. Rows per band are fixed; the number of bands
-   follows from the collision curve 1 - (1 - s^r)^b, so that pairs of similarity `SIMILAR` meet with `RECALL`.
+   apart; strings with the same words, in any order, are one node. Nodes with the same distinctive words (no given names,
+   no words of trades) share a head.
+2. Candidates: MinHash over padded q-grams of the heads. Rows per band are fixed; the number of bands follows from the
+   collision curve 1 - (1 - s^r)^b, so that heads of similarity `SIMILAR` meet with `RECALL`. Heads that meet are kept if
+   their exact similarity reaches `LEAST_SIMILAR`, and the nodes of two such heads are candidates. Where two heads have
+   more than `FEW` pairs of nodes (a surname of very many people) nodes meet by their remaining words only, through keys
+   that words meet on whenever `compare` can match them; both ways give the same links.
    Acronyms meet names through the acronyms that a name can have.
-3. Candidates are verified by Monge-Elkan similarity of their words, with Damerau distance inside; initials, short forms
-   and abbreviations count as the word they stand for. If words are left over on both sides the names differ.
+3. Candidates are verified by Monge-Elkan similarity, the mean of the best matches of the shorter name's words, with a
+   typing distance inside: Damerau distance in which only keys that lie side by side are one slip. Initials, short forms
+   and abbreviations count as the word they stand for. Then the words are matched one to one; if words are left over on
+   both sides, or there are more than `EDITS` slips, the names differ. Nothing here depends on how often a word occurs,
+   so a link does not go when the data grow.
 4. Star clustering: the node with most full links among its neighbours is a centre, the nodes linked to it are its
    satellites; rounds go on until every node is placed. A node whose words fit several centres equally names none of them.
 
@@ -30,7 +37,7 @@ from pyspark.sql import functions as F
 from scrivano.session import written
 
 Q, ROWS, SIMILAR, RECALL, SAME = 3, 3, 0.3, 0.98, 0.8
-ESTABLISHED, TYPO_RATIO, EDITS, LEAST_SIMILAR = 3, 8, 3, 0.15
+EDITS, LEAST_SIMILAR, FEW = 3, 0.2, 1000
 BANDS = math.ceil(math.log(1 - RECALL) / math.log(1 - SIMILAR**ROWS))
 # What is no part of a name.
 TITLES = "dott dr dssa dottssa arch ing geom avv rag sig sigra sigri prof profssa ditta spettle spett impresa gent gentle egr sra on cav mons don".split()
@@ -142,15 +149,21 @@ def acronyms(words: list[str], acronym: bool) -> list[str]:
     return sorted(x for x in out if len(x) > 2)
 
 
-def distance(a: str, b: str, most: int) -> int:
-    """Damerau distance (optimal alignment), or `most` + 1 if it is larger."""
+# Rows of the keyboard; a key lies beside two of the row below.
+KEYS = ("qwertyuiop", "asdfghjkl", "zxcvbnm")
+BESIDE = {(x, y) for row in KEYS for x, y in zip(row, row[1:])} | {(x, y) for up, down in zip(KEYS, KEYS[1:]) for k, x in enumerate(up) for y in down[max(0, k - 1) : k + 1]}
+BESIDE |= {(y, x) for x, y in BESIDE}
+
+
+def distance(a: str, b: str, most: int, other: int = 1) -> int:
+    """Damerau distance (optimal alignment), or `most` + 1 if it is larger. `other` is what a letter costs that stands for one whose key is not beside its own."""
     if abs(len(a) - len(b)) > most:
         return most + 1
     two, one = None, list(range(len(b) + 1))
     for i, x in enumerate(a, 1):
         now = [i]
         for j, y in enumerate(b, 1):
-            d = min(one[j] + 1, now[-1] + 1, one[j - 1] + (x != y))
+            d = min(one[j] + 1, now[-1] + 1, one[j - 1] + (0 if x == y else 1 if other == 1 or (x, y) in BESIDE else other))
             if i > 1 and j > 1 and x == b[j - 2] and a[i - 2] == y:
                 d = min(d, two[j - 2] + 1)
             now.append(d)
@@ -171,6 +184,8 @@ def word_similarity(a: str, b: str) -> float:
         return 1.0
     if len(x) == 1:
         return 0.9 if y[0] == x or y in SHORT and any(f[0] == x for f in SHORT[y].split()) else 0.0
+    if not set(SHORT.get(x, "").split()).isdisjoint(SHORT.get(y, "").split()):
+        return 0.95
     for s, f in ((x, y), (y, x)):
         if s in SHORT and f in SHORT[s].split():
             return 0.95
@@ -184,16 +199,12 @@ def word_similarity(a: str, b: str) -> float:
     if n < 4 or x in GIVEN and y in GIVEN or x in TRADES and y in TRADES:
         return 0.0
     most = 1 if n < 6 else 2
-    d = distance(x, y, most)
-    return 1 - d / n if d <= most and (x[0] == y[0] or d <= 2) else 0.0
-
+    d = distance(x, y, most, other=2)
+    return 1 - d / n if d <= most else 0.0
 
-def compare(a: list[str], b: list[str], form_a: str, form_b: str, known: dict[str, int] | None = None) -> tuple[float, bool]:
-    """Monge-Elkan similarity of two names (0 if they differ), and whether each word has its partner.
 
-    Two words that are each `known` from `ESTABLISHED` spellings, none from many more than the other, are no typos of each other; more than `EDITS` typos in
-    a name are none."""
-    known = known or {}
+def compare(a: list[str], b: list[str], form_a: str, form_b: str) -> tuple[float, bool]:
+    """Monge-Elkan similarity of two names (0 if they differ), and whether each word has its partner."""
     if form_a and form_b and form_a != form_b:
         return 0.0, False
     for k in range(len(a) - 1):
@@ -204,15 +215,12 @@ def compare(a: list[str], b: list[str], form_a: str, form_b: str, known: dict[st
         if len(b) > len(a) and (b[k] + b[k + 1]) in a:
             b = [*b[:k], b[k] + b[k + 1], *b[k + 2 :]]
             break
-    def similar(x: str, y: str) -> float:
-        s = word_similarity(x, y)
-        if s in (0.0, 0.9, 0.95, 1.0):
-            return s
-        low, high = sorted((known.get(x, 0), known.get(y, 0)))
-        return 0.0 if low >= ESTABLISHED and high < TYPO_RATIO * low else s
-
+    table = [[word_similarity(x, y) for y in b] for x in a]
+    best = [max(row) for row in table] if len(a) <= len(b) else [max(column) for column in zip(*table)]
+    if sum(best) < SAME * len(best):
+        return 0.0, False
     edits = 0
-    pairs = sorted(((similar(x, y), i, j) for i, x in enumerate(a) for j, y in enumerate(b)), reverse=True)
+    pairs = sorted(((s, i, j) for i, row in enumerate(table) for j, s in enumerate(row)), reverse=True)
     mine, yours, total, own = set(), set(), 0.0, False
     names = set(distinctive(a)), set(distinctive(b))
     for s, i, j in pairs:
@@ -233,79 +241,142 @@ def compare(a: list[str], b: list[str], form_a: str, form_b: str, known: dict[st
     return total / min(len(a), len(b)), full
 
 
-@lru_cache(maxsize=100_000)
-def own_grams(words: tuple[str, ...]) -> frozenset[str]:
-    return frozenset(grams(distinctive(list(words))))
+def slips(word: str) -> set[str]:
+    """Keys that two words share whenever `word_similarity` can call one a slip of the other: what is left of them without two letters."""
+    out = now = {word}
+    for _ in range(1 if len(word) < 6 else 2):
+        now = {w[:k] + w[k + 1 :] for w in now for k in range(len(w))}
+        out = out | now
+    return out
+
+
+def word_keys(words: list[str], asking: bool) -> set[str]:
+    """Keys of words: where one name asks, the other can answer, if two of their words can be matched."""
+    out = set()
+    for w in {*words, *(x + y for x, y in zip(words, words[1:]))}:
+        full = w.split(".")[0] if "." in w else w
+        if len(w.strip(".")) == 1:
+            out.add("i" + w[0])
+            continue
+        if "." in w.rstrip("."):
+            out.add("i" + full[0])
+        elif not asking:
+            out |= {"i" + x[0] for x in (full, *SHORT.get(full, "").split())}
+        if len(full) > 2:
+            out.add("p" + full[:3])
+        for x in (full, *SHORT.get(full, "").split()):
+            out |= {"=" + k for k in slips(x)}
+    return out
 
 
 def fits_acronym(word: str, words: list[str]) -> bool:
     return word in acronyms(words, False)
 
 
-def linked_nodes(nodes: DataFrame) -> DataFrame:
-    """Links (campo, a, b, sim, full) between nodes (campo, node, words, form, acronym)."""
+def met_heads(heads: DataFrame) -> DataFrame:
+    """(ha, hb) of heads (head, campo, own) whose q-grams are alike; each head meets itself."""
 
     def keys(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for pdf in batches:
-            rows = [bands(list(w)) + [hash_text(x) for x in {x for o in orders for x in acronyms(list(o), a)}] for w, a, orders in zip(pdf["words"], pdf["acronym"], pdf["orders"])]
-            yield pdf.assign(keys=rows)
+            own = [list(w) for w in pdf["own"]]
+            pdf["keys"] = [bands(w) for w in own]
+            pdf["grams"] = [sorted({zlib.crc32(g.encode()) - (1 << 31) for g in grams(w)}) for w in own]
+            yield pdf[["head", "campo", "keys", "grams"]]
+
+    heads = heads.repartition("head")  # few rows, much work each
+    signed = written(heads.mapInPandas(keys, "head bigint, campo string, keys array<bigint>, grams array<int>"), "bands")
+    band = signed.select("campo", "head", F.posexplode("keys").alias("at", "k"))
+    x, y = band.select("campo", "at", "k", F.col("head").alias("ha")), band.select("campo", "at", "k", F.col("head").alias("hb"))
+    met = x.join(y, ["campo", "at", "k"]).filter("ha < hb").select("ha", "hb").distinct()
+    met = met.join(signed.select(F.col("head").alias("ha"), F.col("grams").alias("ga")), "ha").join(signed.select(F.col("head").alias("hb"), F.col("grams").alias("gb")), "hb")
+    both = F.size(F.array_intersect("ga", "gb"))
+    alike = met.filter(both >= LEAST_SIMILAR * (F.size("ga") + F.size("gb") - both)).select("ha", "hb")
+    return alike.unionByName(signed.select(F.col("head").alias("ha"), F.col("head").alias("hb")))
+
+
+def candidates(nodes: DataFrame) -> DataFrame:
+    """(a, b) of the nodes to be compared."""
+    plain_nodes = nodes.filter("not acronym")
+    sizes = plain_nodes.groupBy("head").agg(F.count("*").alias("n"))
+    met = met_heads(plain_nodes.groupBy("head").agg(F.first("campo").alias("campo"), F.first("own").alias("own")))
+    met = met.join(sizes.select(F.col("head").alias("ha"), F.col("n").alias("na")), "ha").join(sizes.select(F.col("head").alias("hb"), F.col("n").alias("nb")), "hb")
+    met = written(met.select("ha", "hb", (F.col("na") * F.col("nb") > FEW).alias("many")), "heads")
+    a, b = plain_nodes.select(F.col("head").alias("ha"), F.col("node").alias("a")), plain_nodes.select(F.col("head").alias("hb"), F.col("node").alias("b"))
+    pairs = met.filter("not many").select("ha", "hb").join(a, "ha").join(b, "hb").filter("ha != hb or a < b").select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b"))
+
+    # nodes of heads with many: one asks with its remaining words, the other answers with all; without remaining words it asks for all
+    def tagged(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        for pdf in batches:
+            rows = []
+            for h, n, words, own in zip(pdf["head"], pdf["node"], pdf["words"], pdf["own"]):
+                rest = [w for w in words if w not in set(own)]
+                asks = word_keys(rest, True) if rest else {"*"}
+                rows += [(h, n, True, k) for k in asks] + [(h, n, False, k) for k in word_keys(list(words), False) | {"*"}]
+            yield pd.DataFrame(rows, columns=["head", "node", "asks", "k"])
+
+    busy = met.filter("many").select(F.explode(F.array("ha", "hb")).alias("head")).distinct()
+    tags = plain_nodes.join(busy, "head", "left_semi").select("head", "node", "words", "own").mapInPandas(tagged, "head bigint, node bigint, asks boolean, k string")
+    tags = written(tags, "tags")
+    both = met.filter("many").select("ha", "hb")
+    both = both.union(both.filter("ha != hb").select("hb", "ha"))
+    asking = tags.filter("asks").select(F.col("head").alias("ha"), F.col("node").alias("a"), "k")
+    answering = tags.filter("not asks").select(F.col("head").alias("hb"), F.col("node").alias("b"), "k")
+    asked = both.join(asking, "ha").join(answering, ["hb", "k"]).filter("a != b").select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b"))
+
+    short = nodes.filter("acronym").select("campo", F.col("words")[0].alias("short"), F.col("node").alias("a"))
+    named = nodes.select("campo", F.explode("acronyms").alias("short"), F.col("node").alias("b"))
+    other = short.join(named, ["campo", "short"]).filter("a != b").select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b"))
+    return pairs.unionByName(asked.unionByName(other).distinct())
 
-    kinds = "campo string, node bigint, words array<string>, orders array<array<string>>, form string, acronym boolean, support array<bigint>, keys array<bigint>"
-    keyed = nodes.mapInPandas(keys, kinds).select("campo", "node", F.explode("keys").alias("k"))
-    met = keyed.alias("x").join(keyed.alias("y"), F.expr("x.campo = y.campo and x.k = y.k and x.node < y.node")).select("x.campo", F.col("x.node").alias("a"), F.col("y.node").alias("b")).distinct()
-    side = lambda n: nodes.select("campo", F.col("node").alias(n), F.col("words").alias(f"w{n}"), F.col("orders").alias(f"o{n}"), F.col("form").alias(f"f{n}"), F.col("acronym").alias(f"q{n}"), F.col("support").alias(f"s{n}"))
-    met = met.join(side("a"), ["campo", "a"]).join(side("b"), ["campo", "b"])
+
+def linked_nodes(nodes: DataFrame) -> DataFrame:
+    """Links (a, b, sim, full) between nodes (campo, node, head, words, own, orders, acronyms, form, acronym)."""
+    side = lambda n: nodes.select(F.col("node").alias(n), F.col("words").alias(f"w{n}"), F.when(F.size("orders") > 1, F.col("orders")).alias(f"o{n}"), F.col("form").alias(f"f{n}"), F.col("acronym").alias(f"q{n}"))
+    met = candidates(nodes).join(side("a"), "a").join(side("b"), "b")
 
     def verify(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for pdf in batches:
             sims, fulls = [], []
-            for wa, wb, oa, ob, fa, fb, qa, qb, sa, sb in zip(*(pdf[c] for c in ("wa", "wb", "oa", "ob", "fa", "fb", "qa", "qb", "sa", "sb"))):
+            for wa, wb, oa, ob, fa, fb, qa, qb in zip(*(pdf[c] for c in ("wa", "wb", "oa", "ob", "fa", "fb", "qa", "qb"))):
                 wa, wb = list(wa), list(wb)
                 if qa != qb:
-                    good = any(fits_acronym(wa[0] if qa else wb[0], list(o)) for o in (ob if qa else oa)) and (not fa or not fb or fa == fb)
-                    sims.append(0.85 if good else 0.0)
-                    fulls.append(False)
+                    orders = ([wb] if ob is None else ob) if qa else [wa] if oa is None else oa
+                    good = any(fits_acronym(wa[0] if qa else wb[0], list(o)) for o in orders) and (not fa or not fb or fa == fb)
+                    s, full = (0.85 if good else 0.0), False
                 else:
-                    x, y = own_grams(tuple(wa)), own_grams(tuple(wb))
-                    both = len(x & y)
-                    if both < LEAST_SIMILAR * (len(x) + len(y) - both):  # met by chance: the exact similarity is far too low
-                        sims.append(0.0)
-                        fulls.append(False)
-                        continue
-                    s, full = compare(wa, wb, fa, fb, {**dict(zip(wa, sa)), **dict(zip(wb, sb))})
-                    sims.append(s)
-                    fulls.append(full)
-            out = pd.DataFrame({"campo": pdf["campo"], "a": pdf["a"], "b": pdf["b"], "sim": sims, "full": fulls})
+                    s, full = compare(wa, wb, fa, fb)
+                sims.append(s)
+                fulls.append(full)
+            out = pd.DataFrame({"a": pdf["a"], "b": pdf["b"], "sim": sims, "full": fulls})
             yield out[out["sim"] >= SAME]
 
-    return met.mapInPandas(verify, "campo string, a bigint, b bigint, sim double, full boolean")
-
-
-def hash_text(x: str) -> int:
-    return -(zlib.crc32(x.encode()) + (len(x) << 33)) - 1
+    return met.mapInPandas(verify, "a bigint, b bigint, sim double, full boolean")
 
 
 def stars(nodes: DataFrame, links: DataFrame) -> DataFrame:
     """(node, centre) of every node: star clustering by rounds."""
-    both = links.select("a", "b", "sim", "full").unionByName(links.select(F.col("b").alias("a"), F.col("a").alias("b"), "sim", "full"))
+    both = links.unionByName(links.select(F.col("b").alias("a"), F.col("a").alias("b"), "sim", "full"))
     both = written(both, "links")
     degree = both.groupBy("a").agg(F.count_if("full").alias("d"))
     # most full links first; among equals the fuller name, then the smaller number. Partial links do not count: a short
     # form has them to every name it fits
     fuller = (F.size("words") + F.when(F.col("form") != "", 1).otherwise(0)).alias("n")
     rank = nodes.join(degree, F.col("node") == F.col("a"), "left").select("node", F.struct(F.coalesce("d", F.lit(0)).alias("d"), fuller, (-F.col("node")).alias("k")).alias("rank"))
-    open_, done = written(rank, "rank"), None
+    linked = both.select(F.col("a").alias("node")).distinct()
+    done, open_ = rank.join(linked, "node", "left_anti").select("node", F.col("node").alias("centre")), rank.join(linked, "node", "left_semi")
     while True:
         near = both.join(open_.select(F.col("node").alias("a"), F.col("rank").alias("ra")), "a").join(open_.select(F.col("node").alias("b"), F.col("rank").alias("rb")), "b")
         beaten = near.filter("rb > ra").select(F.col("a").alias("node")).distinct()
         centres = open_.join(beaten, "node", "left_anti").select("node")
-        fits = both.join(centres.select(F.col("node").alias("b")), "b").join(open_.select(F.col("node").alias("a")), "a").join(centres.select(F.col("node").alias("a")), "a", "left_anti")
-        best = fits.groupBy("a").agg(F.max(F.struct(F.col("full"), F.round("sim", 3).alias("sim"), (-F.col("b")).alias("k"))).alias("m"), F.sort_array(F.collect_list(F.struct("full", F.round("sim", 3).alias("sim"))), asc=False).alias("all"))
-        clear = (F.size("all") < 2) | (F.col("all")[0] != F.try_element_at("all", F.lit(2)))
-        placed = best.select(F.col("a").alias("node"), F.when(clear, -F.col("m.k")).otherwise(F.col("a")).alias("centre"))
-        now = written(placed.unionByName(centres.select("node", F.col("node").alias("centre"))), "stars")
-        done = now if done is None else done.unionByName(now)
-        open_ = written(open_.join(now, "node", "left_anti"), "rank")
+        fits = near.join(centres.select(F.col("node").alias("b")), "b", "left_semi").join(centres.select(F.col("node").alias("a")), "a", "left_anti")
+        # a node that fits several centres equally well stays alone
+        kind = F.struct("full", F.round("sim", 3).alias("sim"))
+        best = fits.select("a", "b", kind.alias("kind")).groupBy("a", "kind").agg(F.min("b").alias("b"), F.count("*").alias("n"))
+        best = best.groupBy("a").agg(F.max(F.struct("kind", "b", "n")).alias("m"))
+        placed = best.select(F.col("a").alias("node"), F.when(F.col("m.n") == 1, F.col("m.b")).otherwise(F.col("a")).alias("centre"))
+        placed = placed.unionByName(centres.select("node", F.col("node").alias("centre")))
+        now = written(open_.join(placed, "node", "left"), "stars")
+        done, open_ = done.unionByName(now.filter("centre is not null").select("node", "centre")), now.filter("centre is null").select("node", "rank")
         if open_.isEmpty():
             return done
 
@@ -316,15 +387,20 @@ def variants(names: DataFrame) -> DataFrame:
     def words(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for pdf in batches:
             p = [parse(n) for n in pdf["nome"]]
-            yield pdf.assign(words=[x[0] for x in p], form=[x[1] for x in p], acronym=[x[2] for x in p])
+            pdf["words"], pdf["form"], pdf["acronym"] = [x[0] for x in p], [x[1] for x in p], [x[2] for x in p]
+            pdf["own"] = [sorted(set(distinctive(x[0]))) for x in p]
+            pdf["acronyms"] = [acronyms(x[0], x[2]) for x in p]
+            yield pdf
 
     names = names.filter("nome is not null").distinct()
-    parsed = names.mapInPandas(words, "campo string, nome string, words array<string>, form string, acronym boolean").filter("size(words) > 0")
-    parsed = written(parsed.withColumn("node", F.xxhash64("campo", F.array_sort("words"), "form")), "names")
-    nodes = parsed.groupBy("campo", "node").agg(F.min("words").alias("words"), F.collect_set("words").alias("orders"), F.first("form").alias("form"), F.max("acronym").alias("acronym"), F.count("*").alias("n"))
-    each = nodes.select("campo", "node", "n", F.posexplode("words").alias("at", "word"))
-    support = each.join(each.groupBy("campo", "word").agg(F.sum("n").alias("have")), ["campo", "word"]).groupBy("campo", "node").agg(F.array_sort(F.collect_list(F.struct("at", "have"))).alias("s"))
-    nodes = written(nodes.join(support, ["campo", "node"]).select("campo", "node", "words", "orders", "form", "acronym", F.col("s.have").alias("support")), "nodes")
+    kinds = "campo string, nome string, words array<string>, form string, acronym boolean, own array<string>, acronyms array<string>"
+    parsed = names.mapInPandas(words, kinds).filter("size(words) > 0")
+    parsed = written(parsed.withColumn("node", F.xxhash64("campo", F.array_sort("words"), "form")).withColumn("head", F.xxhash64("campo", "own")), "names")
+    nodes = parsed.groupBy("node").agg(
+        F.first("campo").alias("campo"), F.first("head").alias("head"), F.first("own").alias("own"), F.min("words").alias("words"), F.collect_set("words").alias("orders"), F.first("form").alias("form"),
+        F.max("acronym").alias("acronym"), F.array_distinct(F.flatten(F.collect_set("acronyms"))).alias("acronyms"),
+    )
+    nodes = written(nodes, "nodes")
     placed = stars(nodes, linked_nodes(nodes))
     return parsed.select("campo", "nome", "node").join(placed, "node").select("campo", "nome", F.col("centre").alias("entity"))
 

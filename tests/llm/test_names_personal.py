@@ -48,6 +48,65 @@ def test_bands_meet_as_the_curve_says():
     assert met >= 0.97 * len(words)
 
 
+def test_links_do_not_depend_on_how_often_words_occur(spark):
+    givens = sorted(name_variants.GIVEN - {"maria", "mariagrazia", "gian", "pier"})[:40]
+    names = [f"{g.title()} Barmanetti" for g in givens] + [f"{g.title()} Barmanettti" for g in givens[:20]]
+    got = linked(spark, names)
+    assert {tuple(sorted((f"{g.title()} Barmanetti", f"{g.title()} Barmanettti"))) for g in givens[:20]} <= got
+    assert name_variants.compare(["rossi"], ["rosssi"], "", "")[0] > 0.8
+
+
+def test_only_neighbouring_keys_are_slips():
+    assert name_variants.word_similarity("barmanetti", "batmanetti") == 0.9  # t lies beside r
+    assert name_variants.word_similarity("tolmetis", "colmepis") == 0  # two letters of far keys make another name
+    assert name_variants.word_similarity("brurbodia", "brurbovia") > 0.7  # one may be a slip
+    assert name_variants.word_similarity("peppe", "beppe") == name_variants.word_similarity("nino", "tonino") == 0.95
+
+
+def test_keys_of_busy_heads_find_what_direct_pairs_find(spark, monkeypatch):
+    r = random.Random(8)
+    names = set()
+    for k in range(140):
+        g, last = r.choice(sorted(name_variants.GIVEN)), r.choice(["Barmanetti", "Dalmeraldi", "Tornex"])
+        i = r.randrange(len(g) - 1)
+        g = r.choice([g, g, g[:i] + g[i + 1] + g[i] + g[i + 2 :], g[:i] + g[i] + g[i:], g[0] + ".", r.choice(sorted(name_variants.SHORT)), g + " p.", g + " " + r.choice(["carlo", "anna"]), "manut. strad.", "manutenzioni stradali", "gian luca", "gianluca", ""])
+        names.add(r.choice([f"{g} {last}", f"{last} {g}"]).strip())
+    nodes = [("beneficiario", n, "x") for n in sorted(names)]
+    df = spark.createDataFrame(nodes, "campo string, nome string, entity string").select("campo", "nome")
+    seen = []
+    for few in (0, 10**9):
+        monkeypatch.setattr(name_variants, "FEW", few)
+        links = []
+        original = name_variants.stars
+        monkeypatch.setattr(name_variants, "stars", lambda n, x, links=links, original=original: (links.extend((r["a"], r["b"]) for r in x.collect()), original(n, x))[1])
+        name_variants.variants(df).count()
+        monkeypatch.setattr(name_variants, "stars", original)
+        seen.append(set(links))
+        assert len(links) == len(set(links))
+    assert seen[0] == seen[1] and len(seen[0]) > 50
+
+
+@pytest.mark.parametrize("scale", ["0.001", "0.01"])
+def test_candidates_against_all_pairs(spark, scale):
+    """Recall of the links of the candidate stage against a comparison of all pairs of nodes of the test table."""
+    rows = spark.read.parquet(f"/root/testdata/sf{scale}/allegati_parsed.parquet").select("beneficiario").distinct().collect()
+    nodes = {}
+    for (n,) in rows:
+        words, form, acronym = name_variants.parse(n) if n else ([], "", False)
+        if words and not acronym:
+            nodes[tuple(sorted(words)), form] = words
+    every = list(nodes.items())
+    want = set()
+    for i, ((_, fa), a) in enumerate(every):
+        for (_, fb), b in every[:i]:
+            if name_variants.compare(a, b, fa, fb)[0] >= name_variants.SAME:
+                want.add(frozenset((tuple(sorted(a)) + (fa,), tuple(sorted(b)) + (fb,))))
+    df = spark.createDataFrame([(k, sorted(set(name_variants.distinctive(w))), list(w), f) for k, ((_, f), w) in enumerate(every)], "node bigint, own array<string>, words array<string>, form string")
+    df = df.selectExpr("*", "'x' as campo", "xxhash64(own) as head", "false as acronym", "cast(array() as array<string>) as acronyms")
+    got = {frozenset(tuple(sorted(every[x][1])) + (every[x][0][1],) for x in r) for r in name_variants.candidates(df).collect()}
+    assert len(want & got) >= 0.97 * len(want) > 0
+
+
 @pytest.fixture(scope="module")
 def model():
     return personal.trained()
