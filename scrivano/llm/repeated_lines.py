@@ -118,16 +118,27 @@ def blocks(docs: DataFrame, longest: int = LONGEST) -> DataFrame:
     return found.filter(F.col("docs") >= LEAST_DOCUMENTS).select("src", F.filter(F.array(*names), lambda x: x != 0).alias("lines"), "docs")
 
 
-def repeated_lines(docs: DataFrame, key: str = "doc_key", text: str = "text", source: str = "ente") -> DataFrame:
-    """(`key`, riga) of each line to be removed."""
+def with_lines(text: str = "text", source: str = "ente") -> tuple[Column, Column]:
+    """Columns src and lines (place, identifier and whether it has enough letters of each line that is not blank)."""
     letters = rf"(?:\p{{L}}[^\p{{L}}]*+){{{LEAST_LETTERS}}}"
     line = lambda x, at: F.struct(at.alias("at"), F.when(x != "", F.xxhash64(x)).alias("id"), x.rlike(letters).alias("wordy"))
-    docs = docs.select(F.col(key).alias("doc"), F.xxhash64(source).alias("src"), F.transform(normal_lines(F.col(text)), line).alias("lines"))
-    docs = written(docs.select("doc", "src", F.filter("lines", lambda x: x["id"].isNotNull()).alias("lines")), "lines")
+    lines = F.filter(F.transform(normal_lines(F.col(text)), line), lambda x: x["id"].isNotNull())
+    return F.xxhash64(source).alias("src"), lines.alias("lines")
+
+
+def lines_of_blocks(docs: DataFrame) -> DataFrame:
+    """(src, id) of the lines in blocks that span enough of the documents (src, lines) of their source. A source has at most
+    1 / `LEAST_SHARE` times as many as a document of it has lines on average."""
     total = docs.groupBy("src").agg(F.count("*").alias("total"))
     spanning = blocks(docs.filter("size(lines) > 0").select("src", F.col("lines.id").alias("ids")))
     spanning = spanning.join(total, "src").filter(F.col("docs") >= F.col("total") * LEAST_SHARE)
-    gone = written(spanning.select("src", F.explode("lines").alias("id")).distinct(), "blocks")
+    return written(spanning.select("src", F.explode("lines").alias("id")).distinct(), "blocks")
+
+
+def repeated_lines(docs: DataFrame, key: str = "doc_key", text: str = "text", source: str = "ente") -> DataFrame:
+    """(`key`, riga) of each line to be removed."""
+    docs = written(docs.select(F.col(key).alias("doc"), *with_lines(text, source)), "lines")
+    gone = lines_of_blocks(docs)
     small = gone.count() <= BROADCAST_LINES
     lines = docs.select("src", "doc", F.inline("lines")).filter("wordy").select("src", "doc", "at", "id")
     found = lines.join(F.broadcast(gone) if small else gone, ["src", "id"])

@@ -1,15 +1,19 @@
 """Noise of scanned pages: running headers, page numbers, words broken at line ends and misread characters.
 
-1. Words of the whole corpus are counted in the JVM. Kept are those with at least one in `RARE` of all words, so the
-   list has at most `RARE` entries whatever the size of the corpus; only this bounded list is sent to the tasks.
-2. Each text is then repaired where it was read. Page numbers are lines of one format whose numbers rise through the
-   text. Headers are lines at page edges that come back almost alike, or that repeat the end of the act's title.
-3. A line that ends in a break goes on in the next line of the running text; a hyphen stays if the corpus spells the
-   word with it.
-4. A word is misread if it is rare and replacing look-alike characters gives a word far more frequent.
+1. One scan splits the texts into words and lines. The words of the whole corpus are counted in Spark; the count table is
+   written once and stays a table, whatever its size.
+2. The lay-out of each text is read: page numbers are lines of one form whose numbers rise through the text, headers are
+   lines at page edges that come back almost alike, or that repeat the end of the act's title, and a line that ends in a
+   break goes on in the next line of the running text. What the decisions need to know (is the joined word known, or the
+   hyphenated one?) is asked of the count table by a join.
+3. A misread word and the right one have the same shape: the strokes of their letters, in which look-alikes are equal.
+   Words are joined to far more frequent words of their shape, and a pair counts if look-alike characters lead from one to
+   the other. The test is a ratio of two counts, so it does not move with the size of the corpus.
+4. The answers come back to their texts by a join, and each text is repaired. A hyphen at a line's end stays if the corpus
+   knows the hyphenated word better than the joined one.
 
 Defined results: null and empty texts have no cases and stay as they are; lines that the site adds (`repeated_lines`) are
-never cases and are left out of the running text.
+never cases and are left out of the running text; ties between right words go to the smaller by code point.
 """
 
 from __future__ import annotations
@@ -18,21 +22,26 @@ import re
 from collections import Counter
 from collections.abc import Iterator
 from difflib import SequenceMatcher
-from functools import lru_cache
 
 import pandas as pd
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from scrivano.llm.repeated_lines import repeated_lines
+from scrivano.llm.repeated_lines import lines_of_blocks, with_lines
+from scrivano.session import written
 
-RARE, TIMES_MORE, SHORTEST_PAGE = 400_000, 40, 6
+TIMES_MORE, MOST_REPLACED, SHORTEST_PAGE, PAGES_IN_ROW = 40, 3, 6, 3
 BREAKS = "-­¬￾‐"
 # What a recogniser reads, and what stood there.
 MISREAD = {
     "0": ["o"], "1": ["i", "l"], "5": ["s"], "à": ["a"], "c": ["e"], "f": ["t"], "e": ["c"], "n": ["u", "ri"], "q": ["g"], "b": ["h"],
     "m": ["rn", "in"], "rn": ["m"], "w": ["vv"], "d": ["cl"], "cl": ["d"], "ü": ["ti"], "ì": ["i"], "h": ["li"], "u": ["n", "ii"], "6": ["b"], "8": ["b"], "9": ["g"],
 }
+# Strokes of letters that are read for one another, each pair of `MISREAD` alike.
+STROKES = str.maketrans({
+    "0": "o", "1": "i", "l": "i", "ì": "i", "r": "i", "n": "ii", "u": "ii", "h": "ii", "b": "ii", "6": "ii", "8": "ii", "m": "iii", "w": "vv", "e": "c", "d": "ci",
+    "f": "t", "ü": "ti", "5": "s", "à": "a", "q": "g", "9": "g",
+})
 FIGURES = {"O": "0", "o": "0", "l": "1", "I": "1", "S": "5", "Z": "2", "b": "6", "g": "9", "B": "8"}
 WORD = re.compile(r"[^\W_]+")
 BROKEN = re.compile(rf"([^\W_]+)([{BREAKS}])$")
@@ -83,7 +92,21 @@ def page_numbers(lines: list[str], site: set[int]) -> set[int]:
                     chain = own
         if len(chain) > len(best):
             best = chain
-    return {i for i, _ in best}
+    return {i for i, _ in best} or unknown_page_numbers(lines, site)
+
+
+def unknown_page_numbers(lines: list[str], site: set[int]) -> set[int]:
+    """Page numbers in a form that is not listed: short lines that differ in one number only, which rises by one from page to
+    page, at least `PAGES_IN_ROW` times, with about as many lines between any two."""
+    forms: dict[str, list[tuple[int, int]]] = {}
+    for i, s in enumerate(lines):
+        if i not in site and len(s) < 24 and (m := re.fullmatch(r"(\D*)(\d{1,4})(\D*)", s)):
+            forms.setdefault(m[1] + "#" + m[3], []).append((i, int(m[2])))
+    for own in forms.values():
+        gaps = [j - i for (i, _), (j, _) in zip(own, own[1:])]
+        if len(own) >= PAGES_IN_ROW and all(b == a + 1 for (_, a), (_, b) in zip(own, own[1:])) and min(gaps) >= SHORTEST_PAGE and max(gaps) - min(gaps) <= 2:
+            return {i for i, _ in own}
+    return set()
 
 
 def headers(lines: list[str], site: set[int], pages: set[int], title: str) -> tuple[set[int], set[int]]:
@@ -153,45 +176,45 @@ def headers(lines: list[str], site: set[int], pages: set[int], title: str) -> tu
     return found, numbered
 
 
-class Words:
-    """The counts of the corpus and what a rare word was misread from."""
-
-    def __init__(self, counts: dict[str, int], least: int):
-        self.counts, self.least = counts, least
-        self.right = lru_cache(maxsize=200_000)(self._right)
-        self.ordinary = lru_cache(maxsize=400_000)(self._ordinary)
-
-    def _ordinary(self, w: str) -> bool:
-        """Whether a word stays as it is wherever it stands."""
-        if w.isdigit():
-            return True
-        if len(w) == 1 or FIGURE.fullmatch(w):
-            return False
-        return self.counts.get(w.lower(), 0) * TIMES_MORE > self.least * 400 or self.right(w) is None
-
-    def _right(self, word: str) -> str | None:
-        w = word.lower()
-        have = self.counts.get(w, 0)
-        if have * TIMES_MORE > max(self.counts.get("di", 0), 1) or len(w) > 24:
-            return None
-        best, most, now, seen = None, max(have, 1) * TIMES_MORE, {w}, {w}
-        for _ in range(3):
-            after = set()
+def replaced(wrong: str, right: str, most: int = MOST_REPLACED) -> int | None:
+    """How many look-alikes lead from one word to the other; None if more than `most` or none do."""
+    best = {(0, 0): 0}
+    now = [(0, 0)]
+    while now:
+        after = []
+        for i, j in now:
+            n = best[i, j]
+            while i < len(wrong) and j < len(right) and wrong[i] == right[j]:
+                i, j = i + 1, j + 1
+            for a, b, more in _steps(wrong, right, i, j):
+                if n + more <= most and best.get((a, b), most + 1) > n + more:
+                    best[a, b] = n + more
+                    after.append((a, b))
+            if i == len(wrong) and j == len(right):
+                best[i, j] = min(n, best.get((i, j), most))
+        now = after
+    return best.get((len(wrong), len(right))) or None
+
+
+def _chains(most: int = 2) -> dict[str, dict[str, int]]:
+    """What one or two characters can stand for after one or two look-alikes ("el" for "cl" for "d"), and how many it takes."""
+    letters = sorted({c for w, rights in MISREAD.items() for c in w + "".join(rights)})
+    out = {}
+    for start in [*letters, *(a + b for a in letters for b in letters)]:
+        seen, now = {start: 0}, [start]
+        for n in range(1, most + 1):
+            now = [x[:i] + r + x[i + len(w) :] for x in now for w, rights in MISREAD.items() for i in range(len(x)) if x.startswith(w, i) for r in rights]
             for x in now:
-                for wrong, rights in MISREAD.items():
-                    at = x.find(wrong)
-                    while at >= 0:
-                        for r in rights:
-                            after.add(x[:at] + r + x[at + len(wrong) :])
-                        at = x.find(wrong, at + 1)
-            now = after - seen
-            seen |= now
-            good = [(self.counts[x], x) for x in now if self.counts.get(x, 0) >= most]
-            if good:
-                return max(good)[1]
-            if len(now) > 1500:
-                break
-        return best
+                seen.setdefault(x, n)
+        out[start] = {x: n for x, n in seen.items() if x[0] != start[0]}  # others begin a character later
+    return out
+
+
+CHAINS = _chains()
+
+
+def _steps(wrong: str, right: str, i: int, j: int) -> list[tuple[int, int, int]]:
+    return [(i + k, j + len(r), n) for k in (1, 2) if i + k <= len(wrong) for r, n in CHAINS.get(wrong[i : i + k], {}).items() if right.startswith(r, j)]
 
 
 def cased(right: str, word: str) -> str:
@@ -201,44 +224,63 @@ def cased(right: str, word: str) -> str:
     return right[:1].upper() + right[1:] if word[:1].isupper() else right
 
 
-def examine(text: str, site: set[int], title: str, words: Words) -> tuple[list[tuple[int, str]], str]:
-    """Cases (line from 0, kind) and the text in whole paragraphs."""
-    raw = text.split("\n")
-    lines = [s.strip() for s in raw]
+def layout(text: str, site: set[int], title: str) -> tuple[list[int], list[int], list[int], list[tuple[int, int, str, str, str]]]:
+    """Lines (from 0) that are page numbers, headers, and headers that end in a page number; and the breaks: line, next line
+    of the running text, the two parts of the word and the sign between."""
+    lines = [s.strip() for s in text.split("\n")]
     pages = page_numbers(lines, site)
     heads, numbered = headers(lines, site, pages, title)
-    cases = [(i, "pagina") for i in pages | numbered] + [(i, "testatina") for i in heads]
     running = [i for i, s in enumerate(lines) if s and i not in site and i not in pages and i not in heads]
+    breaks = []
+    for i, j in zip(running, running[1:]):
+        if lines[i][-1] in BREAKS and (m := BROKEN.search(lines[i])) and (n := WORD.match(lines[j])):
+            if n[0][0].islower() or n[0][0].isdigit() or m[1].isupper() and n[0][0].isupper():
+                breaks.append((i, j, m[1], n[0], m[2]))
+    return sorted(pages), sorted(heads), sorted(numbered), breaks
+
+
+def asked(breaks: list[tuple[int, int, str, str, str]]) -> list[str]:
+    """What has to be known of the words of the corpus to decide on breaks."""
+    return sorted({w.lower() for _, _, left, right, _ in breaks for w in (left + right, f"{left}-{right}")})
+
+
+def examine(text: str, site: set[int], found: tuple, counts: dict[str, int], rights: dict[str, tuple[str, int]]) -> tuple[list[tuple[int, str]], str]:
+    """Cases (line from 0, kind) and the text in whole paragraphs, from the lay-out, the counts of the words asked for and the
+    right words (with their counts) of misread ones."""
+    pages, heads, numbered, breaks = found
+    lines = [s.strip() for s in text.split("\n")]
+    cases = [(i, "pagina") for i in {*pages, *numbered}] + [(i, "testatina") for i in heads]
+    noise = {*pages, *heads, *site}
+    running = [i for i, s in enumerate(lines) if s and i not in noise]
     out = {i: lines[i] for i in [*running, *heads]}
     misread, joined = set(), {}
-    for i, j in zip(running, [*running[1:], None]):
-        m = BROKEN.search(lines[i]) if lines[i][-1] in BREAKS else None
-        if not m or j is None:
-            continue
-        n = WORD.match(lines[j])
-        if not n or not (n[0][0].islower() or n[0][0].isdigit() or m[1].isupper() and n[0][0].isupper()):
-            continue
-        left, right = m[1], n[0]
+
+    def ordinary(w: str) -> bool:
+        return w.isdigit() or len(w) > 1 and not FIGURE.fullmatch(w) and w.lower() not in rights
+
+    for i, j, left, right, sign in breaks:
         whole, kept = (left + right).lower(), f"{left}-{right}".lower()
-        one = words.counts.get(whole, 0) or (words.counts.get(words.right(whole) or "", 0))
-        sides = [words.right(x) or x for x in (left, right)]
-        two = max(words.counts.get(kept, 0), words.counts.get("-".join(sides).lower(), 0))
-        if m[2] == "-" and (two > one or not one and (left.isdigit() or right.isdigit())):
-            if not words.counts.get(kept, 0) and two:
-                misread |= {x for x, was, now in ((i, left, sides[0]), (j, right, sides[1])) if was.lower() != now.lower()}
-                left, right = (cased(now, was) for was, now in zip((left, right), sides))
+        one = rights[whole][1] if whole in rights else counts.get(whole, 0)
+        two, sides = counts.get(kept, 0), None
+        if kept in rights:
+            sides, two = rights[kept][0].split("-"), rights[kept][1]
+        if sign == "-" and (two > one or not one and (left.isdigit() or right.isdigit())):
+            if sides:
+                misread |= {x for x, was, now in ((i, left, sides[0]), (j, right, sides[1])) if was.lower() != now}
+                left, right = (cased(now, was) if was.lower() != now else was for was, now in zip((left, right), sides))
             joined[i] = (j, f"{left}-{right}")
             continue
         cases.append((i, "sillabazione"))
         joined[i] = (j, left + right)
-        if not words.counts.get(whole, 0) and (to := words.right(whole)):
+        if whole in rights:
+            to = rights[whole][0]
             ops = [o for o in SequenceMatcher(None, whole, to, autojunk=False).get_opcodes() if o[0] != "equal"]
             misread |= {i if o[1] < len(left) else j for o in ops}
             joined[i] = (j, cased(to, left))
     first_of = {j for j, _ in joined.values()}
     for i in out:
         s = lines[i]
-        if all(map(words.ordinary, WORD.findall(s))):
+        if all(map(ordinary, WORD.findall(s))):
             continue
         spans = [x.span() for x in WORD.finditer(s)]
         skip = {spans[0][0]} if i in first_of and spans else set()
@@ -247,7 +289,7 @@ def examine(text: str, site: set[int], title: str, words: Words) -> tuple[list[t
 
         def repair(m: re.Match, i: int = i, s: str = s, skip: set[int] = skip) -> str:
             w = m[0]
-            if words.ordinary(w) or m.start() in skip:
+            if ordinary(w) or m.start() in skip:
                 return w
             around = s[max(0, m.start() - 1) : m.start()] + s[m.end() : m.end() + 1]
             if "@" in around or "_" in around or len(w) == 1 and (w != "c" or around not in (" ", "  ")):
@@ -261,12 +303,9 @@ def examine(text: str, site: set[int], title: str, words: Words) -> tuple[list[t
                 return w
             if w.isupper() and (len(w) < 4 or len(w) > 8 and any(c.isdigit() for c in w)):
                 return w
-            if w.lower() in words.counts and words.counts[w.lower()] * TIMES_MORE > words.least * 400:
-                return w
-            to = words.right(w)
-            if to:
+            if w.lower() in rights:
                 misread.add(i)
-                return cased(to, w)
+                return cased(rights[w.lower()][0], w)
             return w
 
         out[i] = WORD.sub(repair, s)
@@ -294,38 +333,79 @@ def _gap(before: str, after: str) -> str:
     return "\n" if re.search(r"[.;:]$", before) and after[:1].isupper() or re.match(r"\d+\)|€", after) or after.isupper() else " "
 
 
-def corpus_words(docs: DataFrame, text: str = "text") -> tuple[dict[str, int], int]:
-    """Counts of the words, and hyphenated words, that make up at least one in `RARE` of all words: at most `RARE`."""
+def words_of(text: str | Column) -> Column:
+    """Words of a text in lower case; of a hyphenated word itself and its parts."""
     tokens = F.regexp_extract_all(F.lower(text), F.lit(r"[\p{L}\p{N}]+(?:-[\p{L}\p{N}]+)*"), F.lit(0))
-    parts = F.flatten(F.transform(tokens, lambda t: F.when(F.contains(t, F.lit("-")), F.concat(F.array(t), F.split(t, "-"))).otherwise(F.array(t))))
-    counts = docs.select(F.explode(parts).alias("w")).groupBy("w").count()
-    total = counts.agg(F.sum("count")).first()[0] or 0
-    least = max(2, -(-total // RARE))
-    kept = counts.filter((F.col("count") >= least) & (F.length("w") <= 40)).collect()  # bounded by RARE
-    return {r[0]: r[1] for r in kept}, least
+    return F.flatten(F.transform(tokens, lambda t: F.when(F.contains(t, F.lit("-")), F.concat(F.array(t), F.split(t, "-"))).otherwise(F.array(t))))
+
+
+def right_words(counts: DataFrame, asked_words: DataFrame) -> DataFrame:
+    """(w, right, n) of the misread words among those of the corpus (w, n) and those asked for: the right word and its count."""
+
+    @F.pandas_udf("string")
+    def shape(words: pd.Series) -> pd.Series:
+        return words.str.translate(STROKES)
+
+    def checked(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        for pdf in batches:
+            pdf["k"] = [replaced(w, r) for w, r in zip(pdf["w"], pdf["right"])]
+            yield pdf[pdf["k"].notna()].astype({"k": "int32"})
+
+    every = counts.unionByName(asked_words.select("w", F.lit(0).cast("bigint").alias("n"))).groupBy("w").agg(F.sum("n").alias("n"))
+    every = every.filter(F.col("w").rlike(r"[^\p{N}]")).withColumn("shape", shape("w"))
+    wrong = every.select("w", "shape", F.greatest("n", F.lit(1)).alias("have"))
+    right = every.filter(F.col("n") >= TIMES_MORE).select(F.col("w").alias("right"), "shape", "n")
+    pairs = wrong.join(right, "shape").filter((F.col("n") >= F.col("have") * TIMES_MORE) & (F.col("w") != F.col("right")))
+    pairs = pairs.select("w", "right", "n").mapInPandas(checked, "w string, right string, n bigint, k int")
+    # a further look-alike must be worth as much as the first: the word it leads to is as many times more frequent
+    worth = F.col("n") / F.pow(F.lit(TIMES_MORE), F.col("k") - 1)
+    best = pairs.groupBy("w").agg(F.min(F.struct((-worth).alias("worth"), "right", "n")).alias("m"))
+    return best.select("w", "m.right", "m.n")
+
+
+BREAK = "array<struct<i: int, j: int, left: string, right: string, sign: string>>"
 
 
 def scanned(docs: DataFrame, key: str = "doc_key", text: str = "text", source: str = "ente", title: str = "oggetto") -> DataFrame:
     """(`key`, cases array of (riga, tipo), text): damage by line, and the text in whole paragraphs."""
-    spark = docs.sparkSession
-    counts, least = corpus_words(docs, text)
-    shared = spark.sparkContext.broadcast((counts, least))
-    site = repeated_lines(docs, key, text, source).groupBy(key).agg(F.collect_list("riga").alias("site"))
-    rows = docs.select(key, F.col(text).alias("text"), F.col(title).alias("title")).join(site, key, "left")
-
-    def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        words = Words(*shared.value)
+    docs = written(docs.select(F.col(key).alias("_key"), *with_lines(text, source), F.col(text).alias("text"), F.col(title).alias("title"), words_of(text).alias("words")), "scanned")
+    counts = written(docs.select(F.explode("words").alias("w")).groupBy("w").agg(F.count("*").alias("n")), "counts")
+    gone = lines_of_blocks(docs.select("src", "lines")).groupBy("src").agg(F.collect_set("id").alias("gone"))
+    rows = docs.select("_key", "src", "text", "title", "lines").join(gone, "src", "left")
+    site = F.transform(F.filter("lines", lambda x: x["wordy"] & F.array_contains("gone", x["id"])), lambda x: x["at"])
+    rows = rows.select("_key", "text", "title", F.when(F.col("gone").isNotNull(), site).alias("site"))
+
+    def read(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        for pdf in batches:
+            found = [layout(t, set() if s is None else set(s), o or "") if t and t.strip() else ([], [], [], []) for t, s, o in zip(pdf["text"], pdf["site"], pdf["title"])]
+            pdf["pages"], pdf["heads"], pdf["numbered"] = ([f[k] for f in found] for k in range(3))
+            pdf["breaks"] = [[dict(zip(("i", "j", "left", "right", "sign"), b)) for b in f[3]] for f in found]
+            pdf["asked"] = [asked(f[3]) for f in found]
+            yield pdf.drop(columns="title")
+
+    kind = docs.schema["_key"].dataType.simpleString()
+    rows = written(rows.mapInPandas(read, f"_key {kind}, text string, site array<int>, pages array<int>, heads array<int>, numbered array<int>, breaks {BREAK}, asked array<string>"), "layout")
+    questions = rows.select("_key", F.explode("asked").alias("w"))
+    rights = written(right_words(counts, questions.select("w").distinct()), "rights").select("w", "right", F.col("n").alias("m"))
+    none = F.lit(None)
+    known = questions.join(counts, "w").select("_key", "w", "n", none.cast("string").alias("right"), none.cast("bigint").alias("m"))
+    own = docs.select("_key", F.explode(F.array_distinct("words")).alias("w")).unionByName(questions).join(rights, "w").select("_key", "w", none.cast("bigint").alias("n"), "right", "m")
+    answers = known.unionByName(own).groupBy("_key").agg(F.collect_set(F.struct("w", "n", "right", "m")).alias("answers"))
+
+    def repair(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for pdf in batches:
             cases, texts = [], []
-            for t, s, o in zip(pdf["text"], pdf["site"], pdf["title"]):
+            for t, s, p, h, d, b, a in zip(*(pdf[c] for c in ("text", "site", "pages", "heads", "numbered", "breaks", "answers"))):
                 if t is None or not t.strip():
                     cases.append([])
                     texts.append(t)
                     continue
-                c, repaired = examine(t, {int(x) - 1 for x in s} if s is not None else set(), o or "", words)
-                cases.append([{"riga": i + 1, "tipo": k} for i, k in sorted(set(c))])
-                texts.append(repaired)
-            yield pd.DataFrame({key: pdf[key], "cases": cases, "text": pd.Series(texts, dtype=object)})
-
-    kind = docs.schema[key].dataType.simpleString()
-    return rows.mapInPandas(run, f"`{key}` {kind}, cases array<struct<riga: bigint, tipo: string>>, text string")
+                a = [] if a is None else a
+                n = {x["w"]: int(x["n"]) for x in a if x["right"] is None}
+                r = {x["w"]: (x["right"], int(x["m"])) for x in a if x["right"] is not None}
+                c, fixed = examine(t, set() if s is None else set(s), (p, h, d, [tuple(x[k] for k in ("i", "j", "left", "right", "sign")) for x in b]), n, r)
+                cases.append([{"riga": int(i) + 1, "tipo": k} for i, k in sorted(set(c))])
+                texts.append(fixed)
+            yield pd.DataFrame({key: pdf["_key"], "cases": cases, "text": pd.Series(texts, dtype=object)})
+
+    return rows.join(answers, "_key", "left").mapInPandas(repair, f"`{key}` {kind}, cases array<struct<riga: bigint, tipo: string>>, text string")

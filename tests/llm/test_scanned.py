@@ -1,11 +1,18 @@
 from scrivano.llm import scanned
 
 COUNTS = {w: 5000 for w in "il procedimento di è stato avviato dalla giunta comunale con delibera della regione nel rione prezzi la spesa finale ogni anno verifica provvedimento socio assistenziale".split()} | {"socio-assistenziale": 900, "di": 60_000}
-WORDS = scanned.Words(COUNTS, 2)
 
 
-def cases(text, site=(), title=""):
-    c, out = scanned.examine(text, set(site), title, WORDS)
+def cases(text, site=(), title="", counts=COUNTS):
+    found = scanned.layout(text, set(site), title)
+    words = {x.lower() for x in scanned.WORD.findall(text)} | set(scanned.asked(found[3]))
+    rights = {}
+    for w in words:
+        if not w.isdigit():
+            good = [(k, -n, r) for r, n in counts.items() if n >= 40 * max(counts.get(w, 0), 1) and r != w and (k := scanned.replaced(w, r))]
+            if good:
+                rights[w] = (min(good)[2], -min(good)[1])
+    c, out = scanned.examine(text, set(site), found, {w: counts[w] for w in scanned.asked(found[3]) if w in counts}, rights)
     return sorted({(i + 1, k) for i, k in c}), out
 
 
@@ -56,16 +63,39 @@ def test_rows(spark):
     assert scanned.scanned(df.limit(0)).count() == 0
 
 
-def test_bounded_vocabulary(spark):
-    df = spark.createDataFrame([("parola nuova " * 50 + "unica",)], "text string")
-    counts, least = scanned.corpus_words(df)
-    assert counts == {"parola": 50, "nuova": 50} and least == 2
+def test_look_alikes_keep_the_shape_of_a_word():
+    for wrong, rights in scanned.MISREAD.items():
+        for right in rights:
+            assert wrong.translate(scanned.STROKES) == right.translate(scanned.STROKES)
+            assert scanned.replaced(f"a{wrong}o", f"a{right}o") == 1
+    assert scanned.replaced("venfica", "verifica") == 1 and scanned.replaced("5tat0", "stato") == 2
+    assert scanned.replaced("provvec1ere", "provvedere") == scanned.replaced("bacrno", "bacino") == scanned.replaced("chsposizione", "disposizione") == 2
+    assert scanned.replaced("stato", "stato") is None and scanned.replaced("555555", "ssssss") is None and scanned.replaced("casa", "cosa") is None
+    assert scanned.replaced("awiato" * 400, "avviato" * 400) is None
+
+
+def test_right_words_come_from_the_whole_count_table(spark):
+    """The same words are found whatever else the corpus holds; the test is the ratio of two counts."""
+    base = [("verifica", 50), ("venfica", 1), ("fra", 30), ("tra", 900), ("unico", 7), ("giunta", 4000), ("giuntа", 3), ("g1unta", 90), ("gíunta", 5)]
+    for times in (1, 1000):
+        rows = [(w, n * times) for w, n in base] + [(f"parola{chr(97 + k % 26)}{chr(97 + k // 26)}", 50_000 * times) for k in range(200)]
+        counts, ask = spark.createDataFrame(rows, "w string, n bigint"), spark.createDataFrame([("venf1ca",), ("unico",)], "w string")
+        got = {r["w"]: r["right"] for r in scanned.right_words(counts, ask).collect()}
+        assert got == {"venfica": "verifica", "venf1ca": "verifica", "g1unta": "giunta"}
+
+
+def test_page_numbers_of_an_unknown_form():
+    body = ["il procedimento è stato avviato"] * 9
+    text = "\n".join(x for k in range(4) for x in [*body, f"foglio nr {k + 1}"])
+    assert cases(text)[0] == [(10, "pagina"), (20, "pagina"), (30, "pagina"), (40, "pagina")]
+    articles = "\n".join(x for k in range(4) for x in [f"Art. {k + 1}", *body[: 3 + 2 * k]])
+    assert cases(articles)[0] == []
 
 
 def test_compound_with_a_misread_part():
     counts = COUNTS | {"amministrativo": 3000, "tecnico": 3000, "tecnico-amministrativo": 900}
-    c, out = scanned.examine("il tecnico-\namm1nistrativo è", set(), "", scanned.Words(counts, 2))
-    assert sorted(c) == [(1, "carattere")] and "tecnico-amministrativo è" in out
+    c, out = cases("il tecnico-\namm1nistrativo è", counts=counts)
+    assert c == [(2, "carattere")] and "tecnico-amministrativo è" in out
 
 
 def test_title_that_goes_on_is_no_header():
