@@ -19,6 +19,7 @@ import re
 import unicodedata
 from collections.abc import Iterator
 
+import numpy as np
 import pandas as pd
 import pyarrow as pa
 import regex
@@ -53,6 +54,14 @@ def fold(text: str) -> str:
     return unicodedata.normalize("NFC", BLANK.sub(" ", text.translate(FOLD)))
 
 
+def has_foreign(text: str) -> bool:
+    """Whether a text has letters of other scripts; most texts are told by the range of their characters."""
+    if text.isascii():
+        return False
+    codes = np.frombuffer(text.encode("utf-32-le", "surrogatepass"), np.uint32)
+    return bool((codes >= 0x370).any()) and FOREIGN.search(text) is not None
+
+
 def dominant(text: str) -> str:
     """The script of most letters of a text."""
     return max(SCRIPTS, key=lambda k: len(SCRIPTS[k].findall(text)))
@@ -77,7 +86,7 @@ def repaired(token: str, script: str) -> list[str]:
 
 def candidates(text: str) -> list[tuple[str, int, str]]:
     """Tokens of a folded text that may be repaired, with their forms by rank."""
-    if not FOREIGN.search(text):
+    if not has_foreign(text):
         return []
     script = dominant(text)
     return [(token, n, to) for token in sorted(set(WORD.findall(text))) if script != "latin" or FOREIGN.search(token) for n, to in enumerate(repaired(token, script))]
@@ -130,7 +139,7 @@ def corpus_words(texts: DataFrame) -> DataFrame:
 
         for batch in batches:
             for t in batch.column(0).to_pylist():
-                if t.isascii() or not FOREIGN.search(t):
+                if not has_foreign(t):
                     rough.update(t.split())
                 else:
                     foreign |= own_words(t)
