@@ -283,7 +283,7 @@ def met_heads(heads: DataFrame) -> DataFrame:
             pdf["grams"] = [sorted({zlib.crc32(g.encode()) - (1 << 31) for g in grams(w)}) for w in own]
             yield pdf[["head", "campo", "keys", "grams"]]
 
-    heads = heads.repartition("head")  # few rows, much work each
+    heads = heads.repartition(int(heads.sparkSession.conf.get("spark.sql.shuffle.partitions")), "head")  # few rows, much work each: not to be merged into one task
     signed = written(heads.mapInPandas(keys, "head bigint, campo string, keys array<bigint>, grams array<int>"), "bands")
     band = signed.select("campo", "head", F.posexplode("keys").alias("at", "k"))
     x, y = band.select("campo", "at", "k", F.col("head").alias("ha")), band.select("campo", "at", "k", F.col("head").alias("hb"))
