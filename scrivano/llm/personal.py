@@ -1,18 +1,24 @@
 """Personal data in free text: e-mail addresses, phone and identity numbers, street addresses and names of persons.
 
-A linear-chain conditional random field labels the words of each sentence. A word enters by its type only: itself if it
-stands several times in the labelled table, else its shape (letters, digits, length, codes, given names, kinds of
-street). Scores of a word are sums over the types around it. The field is trained by gradient steps on the small
-labelled table and decoded by Viterbi in numpy batches, once for each different sequence of types in a task. What it
-finds is then checked exactly: the ends of an item are put where its kind has them, and items that cannot be of their
-kind (a street without a number, a name of one word) are dropped.
+A linear-chain conditional random field labels the words of each sentence, and its labels are the items: where one begins
+and ends, and of which kind it is. A word enters by its features: itself if the labelled table has it outside items, its
+shape (case, digits, length, ending), whether it stands in a list (given names, trades, kinds of street, words of bodies),
+and whether it lies in a match of one of the patterns of e-mail addresses, numbers and addresses. The lists and patterns
+are features like the others: nothing is an item because of them, nor fails to be one. About half of the given names that
+the field is trained on stand in no list, so a name is found by its shape and the words around it.
+
+The weights of a feature are learned for each place from three words before to three after. Words with the same features
+are one type, whose scores are summed up once; the field is trained by gradient steps on the small labelled table and
+decoded by Viterbi in numpy batches, once for each different sequence of types in a task. Of the names found only those
+with a legal form of firms beside them, or of a single word, are put aside.
 
 Defined results: null and empty texts have no items and stay as they are; the same value twice in a text is one row but
-both places are replaced.
+both places are replaced; sentences of any length are decoded in overlapping windows.
 """
 
 from __future__ import annotations
 
+import random
 import re
 from collections.abc import Iterator
 from functools import lru_cache
@@ -22,23 +28,31 @@ import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from scrivano.llm.labelled import ITEMS, SENTENCES, table
-from scrivano.llm.name_variants import FORMS, GIVEN, SHORT, TRADES, distance, plain
+from scrivano.llm.labelled import ITEMS, KNOWN, SENTENCES, table
+from scrivano.llm.name_variants import FORMS, GIVEN, SHORT, SMALL, TRADES, distance, plain
 
 LABELS = ["O"] + [f"{p}-{k}" for k in ITEMS for p in "BI"]
 AROUND = range(-3, 4)
 TOKEN = re.compile(r"\s*(?:[^\W_]+|[^\w\s]|_)")
 SENTENCE = re.compile(r"(?<=[^\W\d_]{5}[.;])\s+(?=[A-ZÀ-Ý])|(?<=\d[.;])\s+(?=[A-ZÀ-Ý][a-zà-ÿ])|\s*\n\s*(?=(?:OGGETTO|DETERMINA|DELIBERA|ORDINA|DECRETA|RENDE NOTO|AVVISA)\b)")
 KINDS = set("via viale piazza largo corso vicolo contrada piazzale strada vle zza so".split())
-LONGEST_SENTENCE = 400
+LEANING = 0.8  # a name missed is worse than one too many
+DROPPED = 0.4  # share of the words of the labelled table that are trained without themselves and their endings
+WINDOW, OVERLAP = 400, 80  # an item of more than 40 words may be cut where two windows meet
+# Words of public and private bodies.
+BODIES = set("comune provincia regione unione consorzio azienda agenzia ente istituto banca cassa poste croce associazione fondazione cooperativa impresa ditta societa studio gruppo pro loco asl inps ministero prefettura scuola liceo universita parrocchia comitato autorita camera tribunale protezione civile".split())
 CODES = [(re.compile(p), k) for p, k in (
     (r"[A-Z]{6}\d\d[A-Z]\d\d[A-Z]\d{3}[A-Z]", "<cf>"), (r"[a-z]{6}\d\d[a-z]\d\d[a-z]\d{3}[a-z]", "<cf>"), (r"[A-Z]{2}\d{5}[A-Z]{2}", "<ci>"), (r"[A-Z]{2}\d{7}", "<pp>"),
     (r"\d\d[A-Z]\d\d", "<cf3>"), (r"[A-Z]\d{3}[A-Z]", "<cf4>"))]
-E_MAIL = re.compile(r"[\w.+-]+\s?(?:@|\[chiocciola\]|\(chiocciola\)|\(at\)|\[at\])\s?[\w-]+(?:\.[\w-]+)+", re.I)
+# Words of offices, and words that names of places are made with.
+OFFICES = set("area settore servizio servizi ufficio uffici polizia direzione segreteria sportello centro sezione reparto gestione lavori opere urbanistica tributi anagrafe personale patrimonio ragioneria".split())
+SPOTS = set("borgo colle casale rupe ponte torre castel castello monte san santa sant rocca villa pian piano poggio pieve vico campo valle val fonte porto costa bosco serra isola lago alto alta vecchio vecchia nuovo nuova basso bassa".split())
+SIGN = re.compile(r"\s?(?:@|[\[(](?:chiocciola|at)[\])])\s?", re.I)
+HOST, LOCAL = re.compile(r"[\w-]+(?:\.[\w-]+)+"), re.compile(r"[\w.+-]+\Z")
 PHONE = re.compile(r"(?<![\w/.])(?:(?:\+|00)\d{2}[\s.-]?)?(?:\(0\d{1,4}\)|0\d{1,4}|3\d{2})[\s./-]{0,2}\d(?:[\s./-]?\d){4,8}(?!\d)")
 IDENTITY = re.compile(r"(?<!\w)(?:[A-Z]{6}\d\d[A-Z]\d\d[A-Z]\d{3}[A-Z]|[A-Z]{3}\s[A-Z]{3}\s\d\d[A-Z]\d\d\s[A-Z]\d{3}[A-Z]|[A-Z]{2}\d{5}[A-Z]{2}|[A-Z]{2}\d{7})(?!\w)", re.I)
 ADDRESS = re.compile(
-    r"(?<!\w)(?:via|viale|v\.le|piazza|p\.zza|piazzale|largo|corso|c\.so|vicolo|contrada|c\.da|strada)\s+(?:[^\W\d_]+['’]?[\s.]*){1,6}?"
+    r"(?<!\w)(?:via|viale|v\.le|piazza|p\.zza|piazzale|largo|corso|c\.so|vicolo|contrada|c\.da|strada)\s+(?P<street>(?:[^\W\d_]++['’]?[\s.]*+){1,6}?)"
     r",?\s*(?:n\.?\s*|n°\s*|civico\s*)?\d{1,4}(?:\s?/\s?[A-Za-z](?!\w)|\s(?:bis|ter|quater)(?!\w))?(?:,?\s(?:int|scala|piano)\.?\s\d+)?(?:\s?[,-]\s?\d{5}\s(?P<place>[^\W\d_]+(?:['’][^\W\d_]+)?))?", re.I)
 
 
@@ -55,75 +69,182 @@ def shape(word: str) -> str:
     for rx, k in CODES:
         if rx.fullmatch(word):
             return k
-    low = word.lower()
-    if low in KINDS:
-        return "<kind>"
     if word.isdigit():
-        return f"<d{min(len(word), 8)}{'0' if word[0] == '0' and len(word) > 3 else '3' if word[0] == '3' and len(word) > 2 else ''}>"
+        return f"<d{min(len(word), 12)}{'0' if word[0] == '0' and len(word) > 3 else '3' if word[0] == '3' and len(word) > 2 else ''}>"
     case = "A" if word.isupper() else "Aa" if word[0].isupper() else "a"
     if any(c.isdigit() for c in word):
         return f"<mixed{case}{min(len(word), 9)}>"
-    if len(word) == 1:
-        return f"<letter{case}>" if word.isalpha() else word
-    if low in TRADES:
-        return "<trade>"
-    return f"<given{case}>" if given(word) else f"<{case}{'4' if len(word) > 4 else ''}>"
+    return f"<letter{case}>" if len(word) == 1 else f"<{case}>"
+
+
+def features(word: str, known: set[str]) -> list[str]:
+    """Features of a word, whatever stands around it."""
+    if not word.isalnum():
+        return [word]
+    low = word.lower()
+    out = [shape(word)]
+    if len(low) > 1 and low in known:
+        out.append("=" + low)
+    if word.isalpha() and len(word) > 1:
+        case, n = out[0], len(word)
+        out += [f"{case}{2 if n < 4 else 4 if n < 6 else 6 if n < 9 else 9}", f"-{low[-1]}"] + ([f"-{low[-3:]}"] if n > 4 else [])
+        lists = [k for k, own in (("kind", KINDS), ("trade", TRADES), ("body", BODIES), ("office", OFFICES), ("spot", SPOTS)) if plain(low) in own] or ["given"] * given(word) or ["none"]
+        out += [f"{k}{case}" for k in lists]
+    return out
+
+
+def emails(text: str) -> Iterator[tuple[int, int]]:
+    for m in SIGN.finditer(text):
+        start = m.start()
+        while start and (text[start - 1].isalnum() or text[start - 1] in "_.+-"):
+            start -= 1
+        host = HOST.match(text, m.end())
+        if host and start < m.start():
+            yield start, host.end()
+
+
+def with_place(text: str, m: re.Match, places: list[str]) -> int:
+    """End of an address, its place in full if that is one of `places`."""
+    if m["place"]:
+        rest = text[m.start("place") :]
+        for p in places:
+            words = p.split()
+            if hit := re.match(r"\s+".join(map(re.escape, words)) + r"(?!\w)", rest[: 4 * len(p) + 40], re.I):
+                return m.start("place") + hit.end()
+    return m.end()
+
+
+@lru_cache(maxsize=4)
+def any_of(places: tuple[str, ...]) -> re.Pattern:
+    """Matches the longest of some names, with any white space inside."""
+    return re.compile(r"(?<!\w)(?:" + "|".join(r"\s+".join(map(re.escape, p.split())) for p in sorted(places, key=lambda p: -len(p)) if p.strip()) + r")(?!\w)", re.I)
+
+
+def street_words(street: str) -> bool:
+    """Whether the words between a kind of street and a number can be its name: a sentence that goes on has small words after capitals."""
+    if re.search(r"[^\W\d_]{4}\.\s", street):  # the end of a sentence
+        return False
+    words = [w for w in re.findall(r"[^\W\d_]+", street) if w.lower() not in ("n", "nr", "civico")]
+    if not words or words[-1].lower() in SMALL:
+        return False
+    return len({w[0].isupper() for w in words if w.lower() not in SMALL}) < 2
+
+
+def marks(text: str, places: list[str]) -> list[tuple[int, int, str]]:
+    """Matches of the patterns, in order; of those that overlap the first of e-mail, identity, address, phone, known place."""
+    out: list[tuple[int, int, str]] = []
+    for kind, found_ in (
+        ("mail", emails(text)), ("id", (m.span() for m in IDENTITY.finditer(text))),
+        ("street", ((m.start(), with_place(text, m, places)) for m in ADDRESS.finditer(text) if street_words(m["street"]))), ("phone", (m.span() for m in PHONE.finditer(text))),
+        ("place", (m.span() for m in any_of(tuple(places)).finditer(text)) if places else ()),
+    ):
+        new = [(a, b, kind) for a, b in found_]
+        if new:
+            before = list(out)
+            out += [x for x in new if all(x[1] <= y[0] or y[1] <= x[0] for y in before)]
+    return sorted(out)
 
 
 class Types:
-    """Numbers of the types; a word's own type if the labelled table has it often enough outside items."""
+    """Numbers of features and of types, which are words with the same features."""
 
     def __init__(self) -> None:
-        sentences = []
+        # words of the sentences themselves, not of the values put into them
+        own = re.findall(r"[^\W\d_]{2,}", re.sub(r"\{\w+\}", " ", SENTENCES).lower())
+        parts = "bis int scala piano example chiocciola at info dei della delle degli del dell".split()
+        self.known = {w for w in [*own, *parts] if not given(w)}
+        self.feature: dict[str, int] = {}
+        self.types: dict[tuple[int, ...], int] = {}
+        self.memo: dict[tuple[str, str, str, bool], int] = {}
+        self.cases: dict[str, str] = {}
+        self.new = True
+        self.of("", "edge")
+        bare = random.Random(1)  # words and endings are left out at times, so that the field does not hang on them, and of marked words all but the marks
+        self.sentences = []
         for pieces in table():
             text = "".join(p for p, _ in pieces)
-            marks = np.zeros(len(text) + 1, int)
+            label = np.zeros(len(text) + 1, int)
             at = 0
             for p, k in pieces:
                 if k:
-                    marks[at : at + len(p)] = 1 + 2 * ITEMS.index(k) + 1
-                    marks[at] = 1 + 2 * ITEMS.index(k)
+                    label[at : at + len(p)] = 2 * ITEMS.index(k) + 2
+                    label[at] = 2 * ITEMS.index(k) + 1
                 at += len(p)
-            tokens = [(m[0], m.end() - len(m[0].lstrip()), m.end()) for m in TOKEN.finditer(text)]
-            labels = []
-            for t, s, _ in tokens:
-                k = marks[s]
-                labels.append(k)
-            sentences.append(([t for t, _, _ in tokens], [int(x) for x in labels]))
-        # words of the sentences themselves, not of the values put into them
-        own = re.findall(r"[^\W\d_]{2,}", re.sub(r"\{\w+\}", " ", SENTENCES).lower())
-        parts = "bis int example chiocciola at info dei della delle degli del dell".split()
-        self.known = {w for w in [*own, *parts] if not given(w) and w not in KINDS and w not in TRADES}
-        self.number: dict[str, int] = {"<edge>": 0}
-        self.memo: dict[str, int] = {}
-        self.sentences = [([self.of(t, True) for t in ts], ks) for ts, ks in sentences]
-
-    def of(self, token: str, new: bool = False) -> int:
-        """Type of a token with the white space before it."""
-        k = self.memo.get(token)
+            spans = spans_of(text, 0, len(text))
+            self.sentences.append((self.sequence(text, spans, marks(text, KNOWN), bare), [int(label[a]) for a, _ in spans]))
+        self.new = False
+
+    def of(self, token: str, mark: str = "", before: str = "", bare: bool = False) -> int:
+        """Type of a token with the white space before it, the mark it stands in and the case of the word before. `bare`
+        leaves the word itself and its ending out, and of a marked word all but the mark and the number of its digits."""
+        k = self.memo.get((token, mark, before, bare))
         if k is None:
             word = token.lstrip()
-            low = word.lower()
-            name = ("=" + low + ("^" if word.isupper() and len(word) > 1 else "")) if low in self.known and len(low) > 1 else shape(word)
-            if not word.isalnum():
-                name = word
-            name += "" if word != token else "~"
-            if new:
-                k = self.number.setdefault(name, len(self.number))
+            if not word or bare and mark:
+                names = [mark, *([shape(word)] if word.isdigit() else [])]
             else:
-                k = self.number.get(name, self.number.get(name.rstrip("~"), 0))
-                if len(self.memo) > 400_000:
-                    self.memo.clear()
-                self.memo[token] = k
+                own = features(word, self.known)
+                own += ["lower"] * (before[:1] == "*")  # a word of a text without capitals
+                names = [*(f for f in own if not bare or f[0] not in "=-" or f == word), mark or "unmarked", f"{before}>{self.case(token)}"] + ["~"] * (word != token)
+            if self.new:
+                for f in names:
+                    self.feature.setdefault(f, len(self.feature))
+            combo = tuple(sorted(self.feature[f] for f in names if f in self.feature))
+            k = self.types.setdefault(combo, len(self.types))
+            if len(self.memo) > 600_000:
+                self.memo.clear()
+            self.memo[token, mark, before, bare] = k
         return k
 
+    def case(self, token: str) -> str:
+        word = token.lstrip()
+        if not word[0].isalpha():
+            return "0" if word[0].isdigit() else word
+        return "A." if len(word) == 1 and word.isupper() else "A" if word.isupper() else "Aa" if word[0].isupper() else "a"
+
+    def plain_sequence(self, tokens: list[str], low: str = "") -> list[int]:
+        """Types of tokens outside all matches; `low` is * in a text without capitals."""
+        out, before, memo, cases = [], low, self.memo, self.cases
+        for token in tokens:
+            k = memo.get((token, "", before, False))
+            out.append(self.of(token, "", before) if k is None else k)
+            case = cases.get(token)
+            if case is None:
+                if len(cases) > 400_000:
+                    cases.clear()
+                case = cases[token] = self.case(token)
+            before = low + case
+        return out
+
+    def sequence(self, text: str, spans: list[tuple[int, int]], found_: list[tuple[int, int, str]], bare: random.Random | None = None) -> list[int]:
+        """Types of the tokens at `spans`, with the marks of the matches they lie in: at the beginning, inside, at the end."""
+        low = "*" if text.islower() else ""
+        out, last, m, before = [], 0 if not spans else spans[0][0], 0, low
+        for a, b in spans:
+            while m < len(found_) and found_[m][1] <= a:
+                m += 1
+            mark = ""
+            if m < len(found_) and found_[m][0] <= a:
+                begins, ends = found_[m][0] == a, found_[m][1] <= b
+                mark = found_[m][2] + ("S" if begins and ends else "B" if begins else "E" if ends else "I")
+            token = (" " if a > last or not out and a and text[a - 1].isspace() else "") + text[a:b]
+            out.append(self.of(token, mark, before, bare is not None and bare.random() < DROPPED))
+            last, before = b, low + self.case(token)
+        return out
+
+
+def spans_of(text: str, start: int, end: int) -> list[tuple[int, int]]:
+    return [(m.end() - len(m[0].lstrip()), m.end()) for m in TOKEN.finditer(text, start, end)]
+
 
 class Field:
-    """The conditional random field: weights of types around a word, and of neighbouring labels."""
+    """The conditional random field: weights of the features around a word, and of neighbouring labels. `w` holds the sums
+    of the weights of each type."""
 
     def __init__(self, types: int):
         self.k = len(LABELS)
         self.w = np.zeros((len(AROUND), types, self.k))
+        self.weights = np.zeros((len(AROUND), 0, self.k))
         self.t = np.zeros((self.k + 1, self.k))  # last row: first word
         for j, name in enumerate(LABELS):
             if name[0] == "I":
@@ -137,7 +258,19 @@ class Field:
         length = x.shape[1] - 6
         return sum(self.w[a][x[:, a : a + length]] for a in range(len(AROUND)))
 
-    def train(self, sentences: list[tuple[list[int], list[int]]], steps: int = 70, rate: float = 0.3, decay: float = 0.002) -> Field:
+    def grow(self, types: Types) -> None:
+        """Adds the sums of types that were not there before."""
+        have = self.w.shape[1]
+        if have < len(types.types):
+            new = [self.weights[:, list(combo)].sum(axis=1) for combo in list(types.types)[have:]]
+            self.w = np.concatenate([self.w, np.stack(new, axis=1).astype(self.w.dtype)], axis=1)
+
+    def train(self, types: Types, steps: int = 120, rate: float = 0.2, decay: float = 0.2) -> Field:
+        sentences = types.sentences
+        member = np.zeros((len(types.types), len(types.feature)))  # features of each type
+        for n, combo in enumerate(types.types):
+            member[n, list(combo)] = 1
+        self.weights = np.zeros((len(AROUND), len(types.feature), self.k))
         groups: dict[int, list[tuple[list[int], list[int]]]] = {}
         for s in sentences:
             groups.setdefault(-(-len(s[0]) // 8) * 8, []).append(s)
@@ -147,18 +280,21 @@ class Field:
             for i, (a, b) in enumerate(own):
                 x[i, 3 : 3 + len(a)], y[i, : len(b)], m[i, : len(b)] = a, b, True
             batches.append((x, y, m))
-        gw, gt = np.zeros_like(self.w), np.zeros_like(self.t)
+        gw, gt = np.zeros_like(self.weights), np.zeros_like(self.t)
         for _ in range(steps):
+            self.w = member @ self.weights
             dw, dt = np.zeros_like(self.w), np.zeros_like(self.t)
             for x, y, m in batches:
                 self._gradient(x, y, m, dw, dt)
-            dw -= decay * self.w
+            df = member.T @ dw - decay * self.weights
             dt -= decay * np.where(self.fixed, 0, self.t)
             dt[self.fixed] = 0
-            gw += dw * dw
+            gw += df * df
             gt += dt * dt
-            self.w += rate * dw / np.sqrt(gw + 1e-6)
+            self.weights += rate * df / np.sqrt(gw + 1e-6)
             self.t += rate * dt / np.sqrt(gt + 1e-6)
+        self.w = (member @ self.weights).astype(np.float32)
+        self.t[:, LABELS.index("B-nome")] += LEANING
         return self
 
     def _gradient(self, x: np.ndarray, y: np.ndarray, m: np.ndarray, dw: np.ndarray, dt: np.ndarray) -> None:
@@ -183,7 +319,8 @@ class Field:
         d[np.arange(n)[:, None], np.arange(length)[None, :], y] += 1
         d *= m[:, :, None]
         for a in range(len(AROUND)):
-            np.add.at(dw[a], x[:, a : a + length], d)
+            at = x[:, a : a + length].ravel()
+            dw[a] += np.stack([np.bincount(at, d[:, :, j].ravel(), dw.shape[1]) for j in range(k)], axis=1)
         dt[k] += d[:, 0].sum(axis=0)
         for i in range(1, length):
             on = m[:, i]
@@ -222,116 +359,78 @@ class Field:
         return out
 
 
+@lru_cache(maxsize=1)
 def trained() -> tuple[Types, Field]:
-    """The field trained on the whole labelled table."""
+    """The field trained on the whole labelled table, once in a process."""
     types = Types()
-    field = Field(len(types.number)).train(types.sentences)
+    field = Field(len(types.types)).train(types)
     types.sentences = []
     return types, field
 
 
-def checked(text: str, start: int, end: int, kind: str, places: list[str], common: set[str] = frozenset()) -> tuple[int, int] | None:
-    """Exact ends of an item that the field found, or None if it cannot be one."""
-    low, high = max(0, start - 60), min(len(text), end + 60)
-    if kind == "nome":
-        while (m := re.match(r"([^\W\d_]{2,})\s+", text[start:end])) and m[1].lower() in common:
-            start += m.end()
-        item = text[start:end]
-        small = len(text) < 150 and "\n" not in text and item == item.lower()
-        if not small:  # the part in capitals, if common words were taken with it
-            runs = [m for m in re.finditer(r"(?:(?<![^\W_])[A-ZÀ-Ý][\w'’]*[.,]?\s*-?\s*)+", item)]
-            runs = [m for m in runs if len(re.findall(r"[^\W\d_]+", m[0])) > 1]
-            if len(runs) == 1 and any(not w[0].isupper() for w in re.findall(r"[^\W\d_]+", item)):
-                start, item = start + runs[0].start(), runs[0][0].rstrip()
-                while (m := re.match(r"([^\W\d_]{2,})\s+", item)) and m[1].lower() in common:
-                    start, item = start + m.end(), item[m.end() :]
-        while item and (item[-1] in ",;:-(" or item[-1].isspace()):
-            item = item[:-1]
-        while (more := re.match(r"\s([A-ZÀ-Ý][^\W\d_]{3,})(?!\w)", text[start + len(item) :])) and (plain(more[1]) in GIVEN and plain(item.split()[-1]) in GIVEN or all(len(w) == 1 or given(w) for w in re.findall(r"[^\W\d_]+", item))):
-            item += more[0]
-        if any(start <= m.start() < start + len(item) + 2 for rx, _ in FORMS for m in rx.finditer(text, start, start + len(item) + 25)):
-            return None
-        words = [w for w in re.findall(r"[^\W\d_]+", item)]
-        full = [w for w in words if len(w) > 1]
-        if not full or len(words) < 2 or len(words) > 6 or any(c.isdigit() or c in "|;:" for c in item):
-            return None
-        if not small and any(not w[0].isupper() for w in words):
-            return None
-        initial = any(len(w) == 1 and re.search(rf"\b{w}\.", text[start : end + 1]) for w in words)
-        if not initial and not any(given(w) for w in full):
-            return None
-        end = start + len(item)
-        if end < len(text) and text[end] == "." and len(words[-1]) == 1 and item.endswith(words[-1]):
-            end += 1
-        return start, end
-    rx = {"email": E_MAIL, "telefono": PHONE, "identita": IDENTITY, "indirizzo": ADDRESS}[kind]
-    best = None
-    for m in rx.finditer(text, low, high):
-        if m.start() < end and start < m.end() and (best is None or m.end() - m.start() > best[1] - best[0]):
-            best = (m.start(), m.end())
-            if kind == "indirizzo" and m["place"]:
-                rest = re.sub(r"\s+", " ", text[m.start("place") : m.start("place") + 40])
-                for p in places:
-                    if rest.lower().startswith(p.lower()):
-                        size, k = 0, m.start("place")
-                        while size < len(p):
-                            while size and text[k].isspace() and p[size] != " ":
-                                k += 1
-                            if p[size] == " ":
-                                while text[k].isspace():
-                                    k += 1
-                            else:
-                                k += 1
-                            size += 1
-                        best = (m.start(), k)
-                        break
-    return best
+def is_name(text: str, start: int, end: int) -> bool:
+    """False for what the field takes for a name of a person and surely is none: a single word, or the name of a firm."""
+    words = re.findall(r"[^\W\d_]+", text[start:end])
+    return len(words) > 1 and any(len(w) > 1 for w in words) and not any(m.start() < end + 3 for rx, _ in FORMS for m in rx.finditer(text, start, end + 25))
+
+
+def windows(length: int) -> Iterator[tuple[int, int, int, int]]:
+    """Windows over a sentence: begin, end, and the part whose labels count."""
+    step, at = WINDOW - OVERLAP, 0
+    while True:
+        last = at + WINDOW >= length
+        yield at, min(length, at + WINDOW), at + (OVERLAP // 2 if at else 0), length if last else at + WINDOW - OVERLAP // 2
+        if last:
+            return
+        at += step
 
 
 def found(texts: list[str | None], types: Types, field: Field, cache: dict[tuple[int, ...], list[int]], places: list[str]) -> list[list[tuple[int, int, str]]]:
     """Places (start, end, kind) of the items of each text."""
-    sentences: list[tuple[int, int, int, tuple[int, ...]]] = []
+    sentences: list[tuple[int, int, int, list[tuple[tuple[int, ...], int, int]]]] = []
     new: dict[tuple[int, ...], None] = {}
-    of = types.of
+    if len(cache) > 300_000:
+        cache.clear()
     for n, t in enumerate(texts):
         if not t:
             continue
-        at = 0
+        at, hits, h, low = 0, marks(t, places), 0, t.islower()
         for m in [*SENTENCE.finditer(t), None]:
             end = m.start() if m else len(t)
-            tokens = TOKEN.findall(t, at, end)
-            for k in range(0, len(tokens), LONGEST_SENTENCE):
-                part = tokens[k : k + LONGEST_SENTENCE]
-                seq = tuple(map(of, part))
-                sentences.append((n, at, end, seq))
-                if seq not in cache:
-                    new[seq] = None
-                at += sum(map(len, part))
+            while h < len(hits) and hits[h][1] <= at:
+                h += 1
+            if h < len(hits) and hits[h][0] < end:
+                seq = types.sequence(t, spans_of(t, at, end), hits)
+            else:
+                seq = types.plain_sequence(TOKEN.findall(t, at, end), "*" if low else "")
+            parts = []
+            for a, b, left, right in windows(len(seq)):
+                part = tuple(seq[a:b])
+                parts.append((part, left - a, right - a))
+                if part not in cache:
+                    new[part] = None
+            sentences.append((n, at, end, parts))
             at = m.end() if m else end
-    if len(cache) > 300_000:
-        cache.clear()
-        new = dict.fromkeys(s[3] for s in sentences)
-    for seq, labels in zip(new, field.decode([s for s in new if s])):
+    field.grow(types)
+    for seq, labels in zip([s for s in new if s], field.decode([s for s in new if s])):
         cache[seq] = labels if any(labels) else []
     out: list[list[tuple[int, int, str]]] = [[] for _ in texts]
-    for n, at, end, seq in sentences:
-        labels = cache.get(seq)
-        if not labels:
+    for n, at, end, parts in sentences:
+        if not any(cache.get(p) for p, _, _ in parts):
             continue
-        t = texts[n]
-        spans = [(m.end() - len(m[0].lstrip()), m.end()) for m, _ in zip(TOKEN.finditer(t, at, end), labels)]
+        labels = [k for p, a, b in parts for k in ((cache.get(p) or [0] * len(p))[a:b])]
+        spans = spans_of(texts[n], at, end)
         i = 0
         while i < len(labels):
-            if labels[i] % 2:
-                j = i + 1
-                while j < len(labels) and labels[j] == labels[i] + 1:
+            j = i + 1
+            if labels[i]:
+                kind = (labels[i] - 1) // 2
+                while j < len(labels) and labels[j] == 2 * kind + 2:
                     j += 1
-                kind = ITEMS[labels[i] // 2]
-                if (hit := checked(t, spans[i][0], spans[j - 1][1], kind, places, types.known)) and (not out[n] or hit[0] >= out[n][-1][1]):
-                    out[n].append((*hit, kind))
-                i = j
-            else:
-                i += 1
+                start, stop = spans[i][0], spans[j - 1][1]
+                if ITEMS[kind] != "nome" or is_name(texts[n], start, stop):
+                    out[n].append((start, stop, ITEMS[kind]))
+            i = j
     return out
 
 

@@ -138,6 +138,71 @@ def test_held_out_accuracy():
     assert right / every > 0.93
 
 
+UNSEEN = "Giacomo Patrizia Massimo Alberto Claudio Riccardo Simone Martina Monica Stefania Daniele Fabrizio Tiziana Mauro Cinzia Ilaria Renzo Loredana Ivano Debora Samuele Noemi Cosimo Ottavio".split()
+SURNAMES = "Bertolini Cattaneo Marchetti Pellegrino Sartori Guerra Fontana Silvestri Caruso Longo Santoro Ferraro Vitale Lombardi Moretti Barbieri Rinaldi Colombo De Luca Orsini".replace("De Luca", "Deluca").split()
+NEW_SENTENCES = """
+Il tutore {n} ha consegnato la delega allo sportello.
+Con la presente il sig. {n} chiede il rimborso della tassa.
+La commissione è formata da {n}, {n} e {n}.
+Il premio va a {n}, nata il 3 maggio 1960.
+Si prende atto della rinuncia di {n}, codice fiscale BRTGCM60A01Y111Z.
+Avvocato del comune è {n} (C.F. BRTGCM60A01Y111Z).
+Per la consegna delle chiavi sentire {n}, tel. 305 1234567.
+La sig.ra {n} abita in via dei Tigli 4 e non possiede altri immobili.
+Accertato che {n} è residente in piazza della Pace, 12;
+Sottoscrivono {n} e {n} per accettazione.
+Il verbale è stato letto da {n} e approvato.
+Incaricato del collaudo: arch. {n} - cell. 305 7654321.
+{n}
+{n} tel. 305 7654321
+{n} - C.F. BRTGCM60A01Y111Z
+{n}, via dei Tigli, 3
+dott. {n}
+""".strip().split("\n")
+
+
+def test_held_out_names_in_held_out_sentences(model):
+    """Names that stand in no list, in sentences that the table does not have."""
+    assert not any(personal.given(g) for g in UNSEEN[:3])
+    r, found, want, wrong, lost = random.Random(2), 0, 0, 0, []
+    for sentence in NEW_SENTENCES * 12:
+        names = []
+        while "{n}" in sentence:
+            first, last = r.choice(UNSEEN), r.choice(SURNAMES)
+            names.append(r.choice([f"{first} {last}", f"{last} {first}", f"{last.upper()} {first}", f"{first} {last}".upper()]))
+            sentence = sentence.replace("{n}", names[-1], 1)
+        got = [v for k, v in items(model, sentence) if k == "nome"]
+        found += len(set(got) & set(names))
+        want += len(set(names))
+        wrong += len(set(got) - set(names))
+    assert found / want >= 0.94 and wrong / want <= 0.06, (found, want, wrong, lost)
+
+
+def test_the_labelled_sentences_are_not_those_of_the_tables(spark):
+    import re
+
+    rows = spark.read.parquet("/root/testdata/sf0.01/documenti_corpus.parquet").select("text").filter("text is not null").collect()
+    corpus = "\n".join(" ".join(t.split()) for (t,) in rows)
+    for line in labelled.SENTENCES.strip().split("\n"):
+        fixed = [x for p in re.split(r"\{\w+\}", line) if len(x := p.strip()) > 20]
+        assert not fixed or not all(x in corpus for x in fixed), line
+
+
+def test_items_over_the_edges_of_windows(model):
+    t = "la spesa della scuola è di € 12,50 e " * 130 + "per chiarimenti rivolgersi a Ezio Barmanetti, tel. 305 1234567 oppure e.barmanetti@posta.example " + "la spesa della scuola è di € 12,50 e " * 130
+    for shift in range(0, 60, 12):
+        assert items(model, "si " * shift + t) == [("nome", "Ezio Barmanetti"), ("telefono", "305 1234567"), ("email", "e.barmanetti@posta.example")]
+
+
+def test_patterns_are_features_only(model):
+    """The labels of the field decide: without its weights there is no item, whatever the patterns match."""
+    types, field = model
+    empty = personal.Field(len(types.types))
+    empty.weights = np.zeros_like(field.weights)
+    text = "Scrivere a e.barmanetti@posta.example, C.F. BRMZEI60A01Y111Z"
+    assert personal.found([text], types, empty, {}, [])[0] == [] and len(items(model, text)) == 2
+
+
 def test_gradient_matches_differences():
     field = personal.Field(5)
     field.w += np.random.RandomState(1).normal(size=field.w.shape) * 0.3
