@@ -9,6 +9,8 @@ from pyspark.ml.functions import vector_to_array
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from scrivano.operators.incremental import updated
+
 TEXT_COLUMNS = ("text", "text_preview", "oggetto")
 REVIEW = "Da_Revisionare_Manualmente"
 
@@ -83,3 +85,9 @@ def class_report(df: DataFrame, truth: str, guess: str) -> DataFrame:
     s = one.unionByName(two).groupBy("label").agg(F.sum("tp").alias("tp"), F.sum("support").alias("support"), F.sum("named").alias("named"))
     div = lambda a, b: F.when(b == 0, 0.0).otherwise(F.round(a / b, 6))
     return s.select("label", div(F.col("tp"), F.col("named")).alias("precision"), div(F.col("tp"), F.col("support")).alias("recall"), div(2 * F.col("tp"), F.col("named") + F.col("support")).alias("f1"), F.col("support").cast("bigint").alias("support"))
+
+
+def written_back(df: DataFrame, predicted: DataFrame, key: str, order: str, label: str = "category", confidence: str = "classification_confidence", least: float = 0.5) -> DataFrame:
+    """`df` with the sure predictions (`key`, `order`, `label`, sure) put in and marked `high_ml`; of several for a key the last in `order` counts."""
+    sure = predicted.filter((F.col("sure") >= least) & F.col(label).isNotNull() & F.col(key).isNotNull())
+    return updated(df, sure.select(key, order, label, F.lit("high_ml").alias(confidence)), key, order, [label, confidence])

@@ -12,7 +12,7 @@ from pyspark.sql.types import ArrayType, StringType
 
 from scrivano.functions.text import col, compact, tokens
 
-SIZE, OVERLAP, TOP, LEAST_CHARS, BLOCK = 3000, 300, 6, 50, 2048
+SIZE, OVERLAP, TOP, LEAST_CHARS, BLOCK, TEXTS, VECTORS = 3000, 300, 6, 50, 1024, 8192, 8192
 SEPARATORS = ("\n\n", "\n", ".", " ")
 
 
@@ -81,12 +81,58 @@ def prefixed_chunks(docs: DataFrame, key: str, text: str = "text", subject: str
     return parts.select(key, "chunk_no", prefixed(F.nullif(compact(subject), F.lit("N/D")), F.col(cig), F.col(cup), F.col("chunk")).alias("chunk"))
 
 
+def blocks_of(rows: DataFrame, key: str, most: int, least: int = BLOCK) -> tuple[DataFrame, int]:
+    """Adds `b`, a number of a block of about `most` rows; small tables get as many blocks as there are shuffle partitions,
+    if each then has `least` rows. The larger the blocks the less is copied."""
+    n = rows.count()
+    spread = min(int(rows.sparkSession.conf.get("spark.sql.shuffle.partitions")), -(-n // least))
+    n = max(1, -(-n // most), spread)
+    return rows.withColumn("b", F.pmod(F.xxhash64(key), F.lit(n))), n
+
+
+def best_of(scores: np.ndarray, top: int) -> np.ndarray:
+    """Places of the `top` smallest scores of each row, ties by place."""
+    k = min(top, scores.shape[1])
+    if k == scores.shape[1]:
+        return np.argsort(scores, axis=1, kind="stable")
+    edge = np.partition(scores, k - 1, axis=1)[:, k - 1 : k]
+    return np.stack([(near := np.flatnonzero(row <= e))[np.argsort(row[near], kind="stable")[:k]] for row, e in zip(scores, edge)])
+
+
 def overlap_search(questions: DataFrame, question: str, docs: DataFrame, key: str, text: str = "text", query_key: str = "question_id", top: int = TOP) -> DataFrame:
-    """Rows with most tokens in common with each question, ties by key. Tokens of questions that no text has, and of texts
-    that no question has, are dropped before the join; counts are combined before they are shuffled."""
-    q = questions.select(query_key, F.explode(tokens(question)).alias("token"))
-    t = docs.select(key, F.explode(tokens(text)).alias("token")).join(q.select("token").distinct(), "token", "left_semi")
-    hits = q.join(t, "token").groupBy(query_key, key).agg(F.count("*").alias("overlap"))
+    """Rows with most tokens in common with each question, ties by key.
+
+    Words that nearly all questions and texts have would make a join of tokens give nearly all pairs, so texts and
+    questions are packed into blocks of their tokens' hashes, and each pair of blocks is one product of two 0/1 matrices over
+    the tokens of the questions, which leaves `top` rows a question."""
+    hashes = lambda c: F.transform(tokens(c), lambda x: F.xxhash64(x))
+    rows, n = blocks_of(docs.select(F.col(key).alias("id"), hashes(text).alias("t")).filter("size(t) > 0"), "id", TEXTS, TEXTS // 32)
+    asked = questions.select(F.col(query_key).alias("id"), hashes(question).alias("t")).filter("size(t) > 0")
+    asked, _ = blocks_of(asked, "id", BLOCK, BLOCK)
+    blocks = rows.groupBy("b").agg(F.collect_list(F.struct("id", "t")).alias("rows"))
+    asked = asked.groupBy(F.col("b").alias("qb")).agg(F.collect_list(F.struct("id", "t")).alias("asked"))
+    met = blocks.join(asked.withColumn("b", F.explode(F.sequence(F.lit(0).cast("bigint"), F.lit(n - 1).cast("bigint")))), "b")
+
+    def nearest(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        for pdf in batches:
+            for own, ask in zip(pdf["rows"], pdf["asked"]):
+                own = sorted(own, key=lambda r: r["id"])
+                words = np.unique(np.concatenate([r["t"] for r in ask]))
+                a, ids = np.zeros((len(ask), len(words)), np.float32), np.array([r["id"] for r in own])
+                for i, r in enumerate(ask):
+                    a[i, np.searchsorted(words, r["t"])] = 1
+                b = np.zeros((len(words), len(own)), np.float32)
+                for j, r in enumerate(own):
+                    at = np.searchsorted(words, r["t"]).clip(max=len(words) - 1)
+                    b[at[words[at] == r["t"]], j] = 1
+                common = a @ b
+                best = best_of(-common, top)
+                for i, r in enumerate(ask):
+                    k = best[i][common[i, best[i]] > 0]
+                    yield pd.DataFrame({query_key: r["id"], key: ids[k], "overlap": common[i, k].astype(np.int64)})
+
+    kinds = f"`{query_key}` {questions.schema[query_key].dataType.simpleString()}, `{key}` {docs.schema[key].dataType.simpleString()}, overlap bigint"
+    hits = met.mapInPandas(nearest, kinds)
     w = Window.partitionBy(query_key).orderBy(F.desc("overlap"), key)
     return hits.withColumn("rank", F.row_number().over(w).cast("bigint")).filter(F.col("rank") <= top)
 
@@ -94,11 +140,10 @@ def overlap_search(questions: DataFrame, question: str, docs: DataFrame, key: st
 def vector_search(vectors: DataFrame, queries: Column, key: str = "vec_id", vector: str = "embedding", top: int = TOP, cosine: bool = False) -> DataFrame:
     """Nearest rows of every row that `queries` marks, by exact distance over all rows, the row itself excepted.
 
-    Rows are packed into blocks of at most 2048; each pair of a query block and a block is one matrix product, which leaves
+    Rows are packed into blocks of about `VECTORS`; each pair of a query block and a block is one matrix product, which leaves
     `top` rows a query, so neither side is sent whole to a task. Distances are rounded to 4 places, ties go by key."""
     rows = vectors.filter(F.col(vector).isNotNull()).select(F.col(key).alias("id"), F.col(vector).alias("v"), F.coalesce(queries, F.lit(False)).alias("q"))
-    n = max(1, -(-rows.count() // BLOCK))
-    packed = rows.withColumn("b", F.pmod(F.xxhash64("id"), F.lit(n)))
+    packed, n = blocks_of(rows, "id", VECTORS)
     blocks = packed.groupBy("b").agg(F.collect_list(F.struct("id", "v")).alias("rows"))
     asked = packed.filter("q").groupBy("b").agg(F.collect_list(F.struct("id", "v")).alias("asked")).withColumnRenamed("b", "qb")
     met = blocks.join(asked.withColumn("b", F.explode(F.sequence(F.lit(0).cast("bigint"), F.lit(n - 1).cast("bigint")))), "b")
@@ -113,9 +158,11 @@ def vector_search(vectors: DataFrame, queries: Column, key: str = "vec_id", vect
                 else:
                     d = ((a**2).sum(1)[:, None] - 2 * a @ b.T + (b**2).sum(1)[None, :]).clip(min=0)
                 d = np.where(qi[:, None] == di[None, :], np.inf, d)
+                order = np.argsort(di, kind="stable")
+                di, d = di[order], np.round(d[:, order], 4)
+                best = best_of(d, top)
                 for i in range(len(qi)):
-                    k = np.lexsort((di, np.round(d[i], 4)))[:top]
-                    k = k[np.isfinite(d[i][k])]
+                    k = best[i][np.isfinite(d[i][best[i]])]
                     yield pd.DataFrame({"query_id": qi[i], "vec_id": di[k], "distance": np.round(d[i][k], 4)})
 
     near = met.mapInPandas(nearest, "query_id bigint, vec_id bigint, distance double")

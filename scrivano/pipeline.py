@@ -7,7 +7,6 @@ The plan is one chain of projections; its result is written once and every repor
 from __future__ import annotations
 
 import argparse
-from pathlib import Path
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -55,7 +54,7 @@ def run(spark: SparkSession, source: str, target: str, strict: bool = False, set
     write_tables(tables, f"{target}/report")
     words = found.agg(F.round(F.avg(F.coalesce("text_words", F.lit(0))), 1), F.median(F.coalesce("text_words", F.lit(0))), F.count("*")).first()
     samples = [r[0] for r in found.filter("text_preview != ''").orderBy("doc_key").select("text_preview").limit(3).collect()]
-    write_text(quality.summary(spark.read.parquet(f"{target}/report/quality_issues"), words[2], notices.count(), words[0], words[1], samples), str(Path(target) / "report.md"))
+    write_text(quality.summary(spark.read.parquet(f"{target}/report/quality_issues"), words[2], notices.count(), words[0], words[1], samples), f"{target}/report.md", spark)
     return quality.validate(found, REQUIRED, "doc_key", settings.most_unknown)
 
 

@@ -43,15 +43,14 @@ def p2_found(spark: SparkSession, d: str) -> DataFrame:
 # Texts
 
 
-@query(
-    rf"""
-WITH w AS (SELECT doc_key, coalesce(text, '') AS t, {WORDS.format("text")} AS ws FROM documenti_corpus)
-SELECT doc_key, length(t) AS text_chars, len(ws) AS text_words, len(list_distinct(ws)) AS unique_words,
- CAST(len(regexp_extract_all(lower(t), '€| euro([^\p{{L}}\p{{N}}_]|$)')) AS BIGINT) AS euro_mentions,
+_FEATURES = r"""length(t) AS text_chars, len(ws) AS text_words, len(list_distinct(ws)) AS unique_words,
+ CAST(len(regexp_extract_all(lower(t), '€| euro([^\p{L}\p{N}_]|$)')) AS BIGINT) AS euro_mentions,
  CAST(len(list_filter(ws, lambda x: x = 'cig')) AS BIGINT) AS cig_mentions, CAST(len(list_filter(ws, lambda x: x = 'cup')) AS BIGINT) AS cup_mentions,
- CAST(len(regexp_extract_all(t, '\b[0-9]{{1,2}}/[0-9]{{1,2}}/20[0-9]{{2}}\b')) AS BIGINT) AS date_mentions,
- array_to_string(list_sort(list_distinct(list_filter(ws, lambda x: regexp_full_match(x, '20[0-9]{{2}}')))), ',') AS years_mentioned FROM w"""
-)
+ CAST(len(regexp_extract_all(t, '\b[0-9]{1,2}/[0-9]{1,2}/20[0-9]{2}\b')) AS BIGINT) AS date_mentions,
+ array_to_string(list_sort(list_distinct(list_filter(ws, lambda x: regexp_full_match(x, '20[0-9]{2}')))), ',') AS years_mentioned"""
+
+
+@query(f"WITH w AS (SELECT doc_key, coalesce(text, '') AS t, {WORDS.format('text')} AS ws FROM documenti_corpus) SELECT doc_key, {_FEATURES} FROM w")
 def text_features(spark: SparkSession, d: str) -> DataFrame:
     return table(spark, d, "documenti_corpus").select("doc_key", *(v.alias(k) for k, v in text.text_features("text").items()))
 
@@ -87,9 +86,20 @@ def dedup_keep_first(spark: SparkSession, d: str) -> DataFrame:
     return docs.groupBy("fingerprint").agg(F.min("doc_id").alias("doc_id"), F.count("*").alias("copies"))
 
 
-@query()
+def _clean_sql() -> str:
+    t = "coalesce(text, '')"
+    for p in clean.PASSAGES:
+        t = f"regexp_replace({t}, replace('{p.replace(chr(39), chr(39) * 2)}', '{{place}}', p), '', 'gis')"
+    t = rf"regexp_replace(regexp_replace(regexp_replace({t}, '[ \t]+', ' ', 'g'), '\n\s*\n+', chr(10) || chr(10), 'g'), '^\s+|\s+$', '', 'g')"
+    return f"""
+WITH p AS (SELECT '(?:' || string_agg(replace(comune, chr(39), '[' || chr(39) || '’]'), '|' ORDER BY comune) || ')' AS p FROM enti WHERE comune IS NOT NULL),
+c AS (SELECT doc_key, {t} AS text FROM documenti_corpus, p), w AS (SELECT *, {WORDS.format("text")} AS ws FROM c)
+SELECT doc_key, text, CASE WHEN text <> '' THEN substring(text, 1, 1200) END AS text_preview, CASE WHEN text <> '' THEN length(text) END AS text_chars, CASE WHEN text <> '' THEN len(ws) END AS text_words, CASE WHEN text <> '' THEN len(list_distinct(ws)) END AS unique_words FROM w"""
+
+
+@query(_clean_sql())
 def clean_text(spark: SparkSession, d: str) -> DataFrame:
-    places = tuple(r[0] for r in table(spark, d, "enti").select("comune").orderBy("comune").collect())  # a fixed table
+    places = tuple(r[0] for r in table(spark, d, "enti").filter("comune is not null").select("comune").orderBy("comune").collect())  # a fixed table
     return clean.refreshed(table(spark, d, "documenti_corpus").select("doc_key", "text"), places=places)
 
 
@@ -287,13 +297,41 @@ def act_fields(spark: SparkSession, d: str) -> DataFrame:
     return docs.select("doc_key", *(found[k].alias(k) for k in ("cig", "cup", "numero_atto", "data_atto", "capitolo", "impegno_num")))
 
 
-@query()
+def _record_sql(strict: bool = False) -> str:
+    """The whole record. RE2 has no lookahead; a group that is not captured gives the same first group."""
+    re2 = lambda p: p.replace("(?iu)", "(?i)").replace("(?=", "(?:").replace("'", "''")
+    hit = lambda p, k=1: f"nullif(regexp_extract(t, '{re2(p)}', {k}), '')"
+    short = lambda x: rf"trim(regexp_replace(trim({x}, ' :;-|'), '(?i)\s*-\s*Progressivo Fornitore.*', '', 'g'))"
+    untrimmed = lambda x: rf"regexp_replace(trim({x}, ' :;-|'), '(?i)\s*-\s*Progressivo Fornitore.*', '', 'g')"
+    payee = lambda x, most: f"CASE WHEN length({untrimmed(x)}) < {most} THEN nullif({short(x)}, '') END"
+    f = {n: f"nullif(trim({hit(extract.PATTERNS[extract.GROUPS.get(n, (n, 1))[0]], extract.GROUPS.get(n, (n, 1))[1])}), '')" for n in extract.FIELDS}
+    f["oggetto"] = f"CASE WHEN length({f['oggetto']}) > 1500 THEN substring({f['oggetto']}, 1, 1500) || '...' ELSE {f['oggetto']} END"
+    f["beneficiario"] = payee(f["beneficiario"], 150)
+    more = ""
+    if strict:
+        kind = "CASE " + " ".join(f"WHEN regexp_matches(t, '{re2(p)}') THEN '{n}'" for n, p in extract.OTHER_ACTS.items()) + " ELSE 'transactional' END"
+        paying = lambda x: f"CASE WHEN {kind} = 'transactional' THEN {x} END"
+        f["cig"], f["cup"] = paying(hit(extract.STRICT_CIG)), paying(hit(extract.STRICT_CUP))
+        f["beneficiario"] = paying("coalesce(" + ", ".join(payee(hit(p), extract.STRICT_NAME) for p in extract.PAID) + ")")
+        f["act_class"] = kind
+        more = f", regexp_extract_all(t, '{extract.TABLE_AMOUNT}', 1)"
+    f["cig"], f["cup"] = f"upper({f['cig']})", f"upper({f['cup']})"
+    found = r"regexp_extract_all(t, '€\s*([0-9.,]+)', 1), regexp_extract_all(t, '(?:importo|totale|spesa complessiva|impegno di spesa|per\s+un\s+importo\s+di)\s+€?\s*([0-9.,]+)', 1), regexp_extract_all(t, 'euro\s*([0-9.,]+)', 1)"
+    return f"""
+WITH n AS (SELECT doc_key, pdf_name, {NORM.format("text")} AS t FROM documenti_corpus), w AS (SELECT *, {WORDS.format("t")} AS ws FROM n),
+r AS (SELECT doc_key, unnest(flatten([{found}{more}])) AS s FROM n), k AS (SELECT doc_key, {CLEANED_AMOUNT} AS n FROM r), v AS (SELECT doc_key, {AMOUNT.format("n")} AS a FROM k),
+a AS (SELECT doc_key, max(a) AS importo_max, CAST(sum(CAST(a AS DECIMAL(28,2))) AS DOUBLE) AS importo_sum, count(a) AS importi_count FROM v GROUP BY 1)
+SELECT w.doc_key, pdf_name, {", ".join(f"{x} AS {n}" for n, x in f.items())}, CAST(NULL AS VARCHAR) AS impegno_anno, CAST(NULL AS VARCHAR) AS accert_anno, importo_max, importo_sum, coalesce(importi_count, 0) AS importi_count, {_FEATURES},
+ contains(coalesce(pdf_name, ''), 'VistoContabile') AS is_visto_contabile, sha256(t) AS text_sha256, substring(t, 1, 1200) AS text_preview FROM w LEFT JOIN a USING (doc_key)"""
+
+
+@query(_record_sql())
 def extraction(spark: SparkSession, d: str) -> DataFrame:
     """The whole record of every document."""
     return extract.extracted(table(spark, d, "documenti_corpus").select("doc_key", "pdf_name", "text")).drop("text")
 
 
-@query()
+@query(_record_sql(strict=True))
 def extraction_strict(spark: SparkSession, d: str) -> DataFrame:
     return extract.extracted(table(spark, d, "documenti_corpus").select("doc_key", "pdf_name", "text"), strict=True).drop("text")
 
@@ -447,6 +485,20 @@ def chunk_fixed(spark: SparkSession, d: str) -> DataFrame:
     return retrieval.fixed_chunks(table(spark, d, "documents"), "doc_id")
 
 
+@query(
+    """
+WITH k AS (SELECT DISTINCT sha256(text) AS h FROM documents WHERE pubblicato_il < TIMESTAMP '2025-01-01' AND text IS NOT NULL),
+s AS (SELECT doc_id, text, unnest(generate_series(0, greatest(length(text) - 1 - 300, 0), 2700)) AS s FROM documents WHERE length(text) >= 50 AND sha256(text) NOT IN (SELECT h FROM k))
+SELECT doc_id, CAST(s // 2700 AS BIGINT) AS chunk_no, substring(text, s + 1, 3000) AS chunk FROM s"""
+)
+def chunks_to_index(spark: SparkSession, d: str) -> DataFrame:
+    """Chunks of the texts that an index of the older documents does not have yet, told by the hash of the text."""
+    docs = table(spark, d, "documents").select("doc_id", "text", "pubblicato_il", F.sha2("text", 256).alias("fingerprint"))
+    known = docs.filter("pubblicato_il < timestamp_ntz'2025-01-01' and text is not null").select("fingerprint")
+    new = docs.select("doc_id", "text", "fingerprint").join(known, "fingerprint", "left_anti")
+    return retrieval.fixed_chunks(new, "doc_id")
+
+
 @query()
 def chunk_recursive(spark: SparkSession, d: str) -> DataFrame:
     return retrieval.recursive_chunks(table(spark, d, "documents"), "doc_id")
@@ -595,6 +647,21 @@ def threshold_relabel(spark: SparkSession, d: str) -> DataFrame:
     return rows.select("estr_id", ml.relabelled("category", F.least(F.col("text_words") / 500, F.lit(1.0))).alias("final_category"))
 
 
+@query(
+    """
+WITH u AS (SELECT pdf_name FROM allegati_parsed WHERE classification_confidence IN ('ambiguous', 'unknown')),
+p AS (SELECT pdf_name, arg_max(category, doc_key) AS category FROM documenti_corpus WHERE pdf_name IN (SELECT pdf_name FROM u WHERE pdf_name IS NOT NULL) AND category IS NOT NULL AND least(text_words / 500, 1) >= 0.5 GROUP BY 1)
+SELECT estr_id, CASE WHEN p.pdf_name IS NULL THEN a.category ELSE p.category END AS category, CASE WHEN p.pdf_name IS NULL THEN classification_confidence ELSE 'high_ml' END AS classification_confidence FROM allegati_parsed a LEFT JOIN p ON a.pdf_name = p.pdf_name"""
+)
+def ml_write_back(spark: SparkSession, d: str) -> DataFrame:
+    """Predictions for ambiguous and unknown files put into the table where they are sure enough. The prediction of a file is
+    here the category of its text, the longer the surer; that of a model goes the same way."""
+    rows = table(spark, d, "allegati_parsed").select("estr_id", "pdf_name", "category", "classification_confidence")
+    unsure = rows.filter("classification_confidence in ('ambiguous', 'unknown')").select("pdf_name")
+    guess = table(spark, d, "documenti_corpus").join(unsure, "pdf_name", "left_semi").select("pdf_name", "doc_key", "category", F.least(F.col("text_words") / 500, F.lit(1.0)).alias("sure"))
+    return ml.written_back(rows, guess, "pdf_name", "doc_key").drop("pdf_name")
+
+
 @query()
 def forest_labels(spark: SparkSession, d: str) -> DataFrame:
     """Documents without a sure category, labelled by a random forest over TF-IDF that is trained on a bounded sample of the sure ones, each label as often."""

@@ -2,9 +2,8 @@
 
 from __future__ import annotations
 
-from pathlib import Path
-
-from pyspark.sql import DataFrame
+from py4j.java_gateway import JavaObject
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 
@@ -26,17 +25,36 @@ def append_new(new: DataFrame, path: str) -> None:
     new.write.mode("append").parquet(path)
 
 
-def replace_table(df: DataFrame, path: str) -> None:
-    """Writes beside the table and swaps the folders, since Spark cannot overwrite what it reads."""
-    fs = df.sparkSession._jvm.org.apache.hadoop.fs.FileSystem.get(df.sparkSession._jsc.hadoopConfiguration())
-    at = df.sparkSession._jvm.org.apache.hadoop.fs.Path
-    df.write.mode("overwrite").parquet(f"{path}.new")
-    fs.delete(at(path), True)
-    fs.rename(at(f"{path}.new"), at(path))
+def file_system(spark: SparkSession, path: str) -> tuple[JavaObject, JavaObject]:
+    """The file system of a path, and the path there."""
+    at = spark._jvm.org.apache.hadoop.fs.Path(path)
+    return at.getFileSystem(spark._jsc.hadoopConfiguration()), at
 
 
-def write_text(text: str, path: str) -> None:
-    Path(path).write_text(text, encoding="utf-8")
+def replace_table(df: DataFrame, path: str) -> None:
+    """Writes beside the table and swaps the folders, since Spark cannot overwrite what it reads. The old table goes only
+    when the new one stands in its place."""
+    spark = df.sparkSession
+    df.write.mode("overwrite").parquet(f"{path}.new")
+    fs, at = file_system(spark, path)
+    new, old = file_system(spark, f"{path}.new")[1], file_system(spark, f"{path}.old")[1]
+    fs.delete(old, True)
+    if fs.exists(at) and not fs.rename(at, old):
+        raise OSError(f"cannot move {path} aside")
+    if not fs.rename(new, at):
+        fs.rename(old, at)
+        raise OSError(f"cannot move {path}.new to its place")
+    fs.delete(old, True)
+
+
+def write_text(text: str, path: str, spark: SparkSession | None = None) -> None:
+    """A small text, on whatever file system the path names."""
+    fs, at = file_system(spark or SparkSession.active(), path)
+    out = fs.create(at, True)
+    try:
+        out.write(bytearray(text.encode("utf-8")))
+    finally:
+        out.close()
 
 
 def export_measures(points: DataFrame, operations: DataFrame, folder: str, time: str = "recorded_at") -> None:

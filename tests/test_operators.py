@@ -53,7 +53,7 @@ def test_incremental(spark):
 
 
 def test_cleaning(spark):
-    df = spark.createDataFrame([("COMUNE DI X uno\nRegistro Generale N. 5 DEL 01/01/2024 testo  qui\n\n\n\nfine",), (None,)], "text string")
+    df = spark.createDataFrame([("COMUNE DI X (Provincia di Y) Città d'Arte\nRegistro Generale N. 5 DEL 01/01/2024 testo  qui\n\n\n\nX (YY), 01/02/2024 Il Segretario Comunale f.to Z\nATTESTAZIONE DI CONFORMITÀ a b\nc repertorio generale dell’Ente.fine",), (None,)], "text string")
     out = [r["text"] for r in clean.refreshed(df, places=("X",)).collect()]
     assert out == ["testo qui\n\nfine", ""]
 
