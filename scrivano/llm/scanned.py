@@ -22,6 +22,7 @@ import re
 from collections import Counter
 from collections.abc import Iterator
 from difflib import SequenceMatcher
+from functools import lru_cache
 
 import pandas as pd
 from pyspark.sql import Column, DataFrame
@@ -217,6 +218,11 @@ def _steps(wrong: str, right: str, i: int, j: int) -> list[tuple[int, int, int]]
     return [(i + k, j + len(r), n) for k in (1, 2) if i + k <= len(wrong) for r, n in CHAINS.get(wrong[i : i + k], {}).items() if right.startswith(r, j)]
 
 
+@lru_cache(maxsize=100_000)
+def _figure(word: str) -> bool:
+    return len(word) > 1 and not word.isdigit() and FIGURE.fullmatch(word) is not None
+
+
 def cased(right: str, word: str) -> str:
     letters = [c for c in word if c.isalpha()]
     if len(letters) > 1 and all(c.isupper() for c in letters):
@@ -255,8 +261,8 @@ def examine(text: str, site: set[int], found: tuple, counts: dict[str, int], rig
     out = {i: lines[i] for i in [*running, *heads]}
     misread, joined = set(), {}
 
-    def ordinary(w: str) -> bool:
-        return w.isdigit() or len(w) > 1 and not FIGURE.fullmatch(w) and w.lower() not in rights
+    # tokens that may have to change; most texts have few
+    odd = {w for w in set(WORD.findall(text)) if w.lower() in rights and (len(w) > 1 or w == "c") or _figure(w)}
 
     for i, j, left, right, sign in breaks:
         whole, kept = (left + right).lower(), f"{left}-{right}".lower()
@@ -280,7 +286,7 @@ def examine(text: str, site: set[int], found: tuple, counts: dict[str, int], rig
     first_of = {j for j, _ in joined.values()}
     for i in out:
         s = lines[i]
-        if all(map(ordinary, WORD.findall(s))):
+        if not odd or odd.isdisjoint(WORD.findall(s)):
             continue
         spans = [x.span() for x in WORD.finditer(s)]
         skip = {spans[0][0]} if i in first_of and spans else set()
@@ -289,12 +295,12 @@ def examine(text: str, site: set[int], found: tuple, counts: dict[str, int], rig
 
         def repair(m: re.Match, i: int = i, s: str = s, skip: set[int] = skip) -> str:
             w = m[0]
-            if ordinary(w) or m.start() in skip:
+            if w not in odd or m.start() in skip:
                 return w
             around = s[max(0, m.start() - 1) : m.start()] + s[m.end() : m.end() + 1]
-            if "@" in around or "_" in around or len(w) == 1 and (w != "c" or around not in (" ", "  ")):
+            if "@" in around or "_" in around or w == "c" and around not in (" ", "  "):
                 return w
-            if FIGURE.fullmatch(w):
+            if _figure(w):
                 # a letter after a house number is no misread figure
                 if len(w) > 1 and not (w[:-1].isdigit() and w[-1] in "bgBI" and STREET.search(s[: m.start()])):
                     to = "".join(FIGURES.get(c, c) for c in w)
@@ -330,7 +336,7 @@ def examine(text: str, site: set[int], found: tuple, counts: dict[str, int], rig
 
 def _gap(before: str, after: str) -> str:
     """A new paragraph where the line before ends a sentence, else a blank."""
-    return "\n" if re.search(r"[.;:]$", before) and after[:1].isupper() or re.match(r"\d+\)|€", after) or after.isupper() else " "
+    return "\n" if before.endswith((".", ";", ":")) and after[:1].isupper() or re.match(r"\d+\)|€", after) or after.isupper() else " "
 
 
 def words_of(text: str | Column) -> Column:
