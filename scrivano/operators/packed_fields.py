@@ -41,8 +41,10 @@ def _quoted(s: str, i: int, q: str, depth: int) -> tuple[str, int] | None:
             j += 2
             continue
         if c == q:
-            rest = s[j + 1 :].lstrip("  ")
-            ends = not rest or rest[0] in ("])" if depth else "") or BREAK.match(rest) or NUMBER.match(rest)
+            k = j + 1
+            while k < n and s[k] in " \u00a0":
+                k += 1
+            ends = k == n or depth and s[k] in "])" or BREAK.match(s, k) or NUMBER.match(s, k)
             if s.startswith(q, j + 1) and not (depth and ends):
                 out.append(q)
                 j += 2
@@ -54,14 +56,15 @@ def _quoted(s: str, i: int, q: str, depth: int) -> tuple[str, int] | None:
     return None
 
 
-def _continues(value: str, rest: str, sep: str) -> bool:
-    """Whether a `,` `;` or `|` after `value` is part of it: a parameter follows, or `value` is no whole name yet."""
-    if sep not in ",;|":
+def _continues(s: str, start: int, at: int, end: int) -> bool:
+    """Whether the `,` `;` or `|` at `at` is part of the value from `start` on: a parameter follows, or it is no whole name yet."""
+    if s[at:end] not in (",", ";", "|"):
         return False
-    m = BARE_STOP.search(rest)
-    chunk = rest[: m.start()] if m else rest
+    m = BARE_STOP.search(s, end)
+    chunk = s[end : m.start() if m else len(s)]
     if not chunk.strip():
         return False
+    value = s[start:at]
     if EXTENSION.search(value.strip()):
         tail = re.split(r"[?;]", value)[1:]
         glued = value == value.rstrip() and chunk == chunk.lstrip() and not EXTENSION.search(chunk.strip())
@@ -82,7 +85,7 @@ def tokenize(s: str | None) -> list[str]:
             i += 1
         elif m := BREAK.match(s, i):
             i = m.end()
-        elif c in CLOSERS and (len(levels) < 8) and not out or c in CLOSERS and levels:
+        elif c in CLOSERS and (levels or not out):
             levels.append(CLOSERS[c])
             i += 1
         elif levels and c == levels[-1]:
@@ -103,7 +106,7 @@ def tokenize(s: str | None) -> list[str]:
                 m = BARE_STOP.search(s, i)
                 if not m:
                     i = n
-                elif m[0] in "])" and m[0] not in levels or m[0].lower()[:1] in ",;|" and m[0] != "||" and _continues(s[start : m.start()], s[m.end() :], m[0]):
+                elif m[0] in "])" and m[0] not in levels or m[0].lower()[:1] in ",;|" and m[0] != "||" and _continues(s, start, m.start(), m.end()):
                     i = m.end()
                     continue
                 else:
