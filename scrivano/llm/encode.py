@@ -20,7 +20,7 @@ import pyarrow as pa
 import regex
 from pyspark.sql import DataFrame
 
-BYTE_BPE_50K = "/opt/tokenizers/byte_bpe_50k.tiktoken"
+BYTE_BPE_50K = "/opt/tokenizers/byte_bpe_50k.tiktoken"  # the default; any path that all executors can read will do
 # Fixed value: how this vocabulary cuts texts into pieces.
 PIECES = r"'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+"
 CACHED_PIECES = 400_000

@@ -3,7 +3,8 @@
 Only how many items have each length matters for the filling, so the plan is made on the histogram of lengths: at most
 `capacity` rows, whatever the number of texts. Each step of the plan takes as many equal containers as the counts
 allow and uses up one length or one group of containers, hence at most 8 x capacity slots. Texts then find their slot by their rank among the texts of the same length. Ranks are counted in salted
-groups, so that a length shared by a third of all texts is no single task.
+groups, so that a length shared by a third of all texts is no single task;
+there are the more groups the more texts there are.
 
 Defined results: a text longer than the capacity is cut into parts of just the capacity and a remainder; no other text
 is split. Texts without tokens (null, empty) take no space: one row with `contenitore` null and `lunghezza` 0.
@@ -20,7 +21,7 @@ from pyspark.sql import functions as F
 
 from scrivano.session import written
 
-SALTS = 64
+SALTS, RANKED = 64, 500_000  # groups of a length, and texts that one of them may have
 
 
 class _Sums:
@@ -142,16 +143,20 @@ def pack(sizes: DataFrame, containers: DataFrame, key: str = "doc_id", size: str
 
     `containers` is a short table of capacities; rows without a positive capacity are left out."""
     known = containers.select(F.col(name), F.col(capacity).cast("bigint").alias("_cap")).filter("_cap > 0")
-    caps = F.array(*(F.struct(F.lit(r[0]).alias(name), F.lit(r[1]).cast("bigint").alias("_cap")) for r in known.collect()))  # a stated short list
+    short = known.collect()  # a stated short list
+    caps = F.array(*(F.struct(F.lit(r[0]).alias(name), F.lit(r[1]).cast("bigint").alias("_cap")) for r in short))
     sizes = sizes.select(F.col(key), F.coalesce(F.col(size), F.lit(0)).cast("bigint").alias("_size"))
     whole = F.expr("_size div _cap")
+    # as many groups as keep each small, even if all parts had one length (as full parts have)
+    rows, total = sizes.agg(F.count("*"), F.sum("_size")).first()
+    salts = max(SALTS, -(-(rows + (total or 0) // max(1, min((r[1] for r in short), default=1))) // RANKED))
     parts = sizes.select(key, "_size", F.inline(caps)).select(
         name, key, "_cap", "_size", F.explode(F.sequence(F.lit(1).cast("bigint"), F.greatest(F.expr("(_size + _cap - 1) div _cap"), F.lit(1)))).alias("parte")
     )
     parts = parts.select(
         name, key, "_cap", "parte", ((F.col("parte") - 1) * F.col("_cap")).alias("inizio"),
         F.when(F.col("parte") <= whole, F.col("_cap")).otherwise(F.expr("_size % _cap")).alias("lunghezza"),
-        F.pmod(F.xxhash64(key, "parte"), F.lit(SALTS)).cast("int").alias("_salt"),
+        F.pmod(F.xxhash64(key, "parte"), F.lit(salts)).cast("int").alias("_salt"),
     )
     some = parts.filter("lunghezza > 0")
     groups = some.groupBy(name, "_cap", "lunghezza", "_salt").agg(F.count("*").alias("_n"))

@@ -82,7 +82,9 @@ def p7_packed(spark: SparkSession, d: str) -> DataFrame:
     containers = table(spark, d, "capacita_contesto")
     docs, out = table(spark, d, "documents"), None
     for (name,) in containers.select("tokenizer").distinct().collect():  # a fixed table of three rows
-        path = encode.BYTE_BPE_50K.replace("byte_bpe_50k", name)
+        if name != "byte_bpe_50k":
+            raise ValueError(f"no rule is known by which {name} cuts texts into pieces")
+        path = encode.BYTE_BPE_50K
         sizes = written(encode.token_counts(docs, path=path), "tokens")
         one = packing.pack(sizes, containers.filter(containers["tokenizer"] == name))
         out = one if out is None else out.unionByName(one)
@@ -120,3 +122,10 @@ f AS (SELECT ente, norm FROM n WHERE length(regexp_replace(norm, '[^\p{L}]', '',
       HAVING count(DISTINCT doc_key) >= 5 AND count(DISTINCT doc_key) >= 0.05 * (SELECT count(*) FROM documenti_corpus c WHERE c.ente IS NOT DISTINCT FROM n.ente))
 SELECT n.doc_key, CAST(n.riga AS BIGINT) AS riga FROM n JOIN f ON n.ente IS NOT DISTINCT FROM f.ente AND n.norm = f.norm
 """
+
+SQL["p3_cleaned"] = (
+    SQL["p3_found"].replace("SELECT n.doc_key, CAST(n.riga AS BIGINT) AS riga FROM n JOIN f", "SELECT n.doc_key, n.riga FROM n JOIN f").replace("WITH l AS", "WITH g AS (WITH l AS")
+    + """), k AS (SELECT doc_key, riga, line FROM (SELECT doc_key, unnest(string_split(text, chr(10))) AS line, generate_subscripts(string_split(text, chr(10)), 1) AS riga FROM documenti_corpus) ANTI JOIN g USING (doc_key, riga))
+SELECT c.doc_key, CASE WHEN c.text IS NOT NULL THEN coalesce(s.text, '') END AS text FROM documenti_corpus c LEFT JOIN (SELECT doc_key, string_agg(line, chr(10) ORDER BY riga) AS text FROM k GROUP BY 1) s USING (doc_key)
+"""
+)
