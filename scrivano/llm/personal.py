@@ -10,7 +10,8 @@ the field is trained on stand in no list, so a name is found by its shape and th
 The weights of a feature are learned for each place from three words before to three after. Words with the same features
 are one type, whose scores are summed up once; the field is trained by gradient steps on the small labelled table and
 decoded by Viterbi in numpy batches, once for each different sequence of types in a task. Of the names found only those
-with a legal form of firms beside them, or of a single word, are put aside.
+with a legal form of firms beside them, of a single word, or without capitals in a text that has some are put aside; so a
+sentence without any match and without two capitals side by side need not be decoded.
 
 Defined results: null and empty texts have no items and stay as they are; the same value twice in a text is one row but
 both places are replaced; sentences of any length are decoded in overlapping windows.
@@ -34,7 +35,10 @@ from scrivano.llm.name_variants import FORMS, GIVEN, SHORT, SMALL, TRADES, dista
 LABELS = ["O"] + [f"{p}-{k}" for k in ITEMS for p in "BI"]
 AROUND = range(-3, 4)
 TOKEN = re.compile(r"\s*(?:[^\W_]+|[^\w\s]|_)")
-SENTENCE = re.compile(r"(?<=[^\W\d_]{5}[.;])\s+(?=[A-ZÀ-Ý])|(?<=\d[.;])\s+(?=[A-ZÀ-Ý][a-zà-ÿ])|\s*\n\s*(?=(?:OGGETTO|DETERMINA|DELIBERA|ORDINA|DECRETA|RENDE NOTO|AVVISA)\b)")
+END = re.compile(r"[.;](?=\s+[A-ZÀ-Ý])|\n\s*(?=(?:OGGETTO|DETERMINA|DELIBERA|ORDINA|DECRETA|RENDE NOTO|AVVISA)\b)")
+# Two words with capitals side by side, or with a small word between: what a name has at least, in a text with capitals.
+CAPITALS = re.compile(r"[A-ZÀ-Ý][\w'’]*[.,\s-]+(?:(?:d[aei]|de[il]|del+[aoe']|l[aeo]|v[ao]n)\s+)?[A-ZÀ-Ý]")
+NEXT = re.compile(r"\s+[A-ZÀ-Ý][a-zà-ÿ]")
 KINDS = set("via viale piazza largo corso vicolo contrada piazzale strada vle zza so".split())
 LEANING = 0.8  # a name missed is worse than one too many
 DROPPED = 0.4  # share of the words of the labelled table that are trained without themselves and their endings
@@ -50,19 +54,27 @@ SPOTS = set("borgo colle casale rupe ponte torre castel castello monte san santa
 SIGN = re.compile(r"\s?(?:@|[\[(](?:chiocciola|at)[\])])\s?", re.I)
 HOST, LOCAL = re.compile(r"[\w-]+(?:\.[\w-]+)+"), re.compile(r"[\w.+-]+\Z")
 PHONE = re.compile(r"(?<![\w/.])(?:(?:\+|00)\d{2}[\s.-]?)?(?:\(0\d{1,4}\)|0\d{1,4}|3\d{2})[\s./-]{0,2}\d(?:[\s./-]?\d){4,8}(?!\d)")
-IDENTITY = re.compile(r"(?<!\w)(?:[A-Z]{6}\d\d[A-Z]\d\d[A-Z]\d{3}[A-Z]|[A-Z]{3}\s[A-Z]{3}\s\d\d[A-Z]\d\d\s[A-Z]\d{3}[A-Z]|[A-Z]{2}\d{5}[A-Z]{2}|[A-Z]{2}\d{7})(?!\w)", re.I)
+IDENTITY = re.compile(r"\b[A-Za-z](?=[A-Za-z](?:\d|[A-Za-z](?:\s|[A-Za-z]{3}\d)))(?:[A-Za-z]{5}\d\d[A-Za-z]\d\d[A-Za-z]\d{3}[A-Za-z]|[A-Za-z]{2}\s[A-Za-z]{3}\s\d\d[A-Za-z]\d\d\s[A-Za-z]\d{3}[A-Za-z]|[A-Za-z]\d{5}[A-Za-z]{2}|[A-Za-z]\d{7})(?!\w)")
 ADDRESS = re.compile(
     r"(?<!\w)(?:via|viale|v\.le|piazza|p\.zza|piazzale|largo|corso|c\.so|vicolo|contrada|c\.da|strada)\s+(?P<street>(?:[^\W\d_]++['’]?[\s.]*+){1,6}?)"
     r",?\s*(?:n\.?\s*|n°\s*|civico\s*)?\d{1,4}(?:\s?/\s?[A-Za-z](?!\w)|\s(?:bis|ter|quater)(?!\w))?(?:,?\s(?:int|scala|piano)\.?\s\d+)?(?:\s?[,-]\s?\d{5}\s(?P<place>[^\W\d_]+(?:['’][^\W\d_]+)?))?", re.I)
 
 
+BY_ENDS: dict[tuple[str, str], list[str]] = {}
+for _name in sorted(GIVEN):
+    BY_ENDS.setdefault((_name[0], _name[-1]), []).append(_name)
+
+
 @lru_cache(maxsize=200_000)
 def given(word: str) -> bool:
     """Whether a word is a given name, allowing for a slip in longer ones."""
     w = plain(word)
     if w in GIVEN or w in SHORT:
         return True
-    return len(w) > 4 and any(abs(len(g) - len(w)) < 2 and g[0] == w[0] and g[-1] == w[-1] and distance(g, w, 1) < 2 for g in GIVEN)
+    return len(w) > 4 and any(abs(len(g) - len(w)) < 2 and distance(g, w, 1) < 2 for g in BY_ENDS.get((w[0], w[-1]), ()))
+
+
+LISTS = (("kind", KINDS), ("trade", TRADES), ("body", BODIES), ("office", OFFICES), ("spot", SPOTS))
 
 
 def shape(word: str) -> str:
@@ -88,7 +100,8 @@ def features(word: str, known: set[str]) -> list[str]:
     if word.isalpha() and len(word) > 1:
         case, n = out[0], len(word)
         out += [f"{case}{2 if n < 4 else 4 if n < 6 else 6 if n < 9 else 9}", f"-{low[-1]}"] + ([f"-{low[-3:]}"] if n > 4 else [])
-        lists = [k for k, own in (("kind", KINDS), ("trade", TRADES), ("body", BODIES), ("office", OFFICES), ("spot", SPOTS)) if plain(low) in own] or ["given"] * given(word) or ["none"]
+        bare = plain(low)
+        lists = [k for k, own in LISTS if bare in own] or ["given"] * given(word) or ["none"]
         out += [f"{k}{case}" for k in lists]
     return out
 
@@ -156,7 +169,7 @@ class Types:
         self.feature: dict[str, int] = {}
         self.types: dict[tuple[int, ...], int] = {}
         self.memo: dict[tuple[str, str, str, bool], int] = {}
-        self.cases: dict[str, str] = {}
+        self.steps: dict[tuple[str, str], tuple[int, str]] = {}
         self.new = True
         self.of("", "edge")
         bare = random.Random(1)  # words and endings are left out at times, so that the field does not hang on them, and of marked words all but the marks
@@ -204,16 +217,15 @@ class Types:
 
     def plain_sequence(self, tokens: list[str], low: str = "") -> list[int]:
         """Types of tokens outside all matches; `low` is * in a text without capitals."""
-        out, before, memo, cases = [], low, self.memo, self.cases
+        out, before, steps = [], low, self.steps
         for token in tokens:
-            k = memo.get((token, "", before, False))
-            out.append(self.of(token, "", before) if k is None else k)
-            case = cases.get(token)
-            if case is None:
-                if len(cases) > 400_000:
-                    cases.clear()
-                case = cases[token] = self.case(token)
-            before = low + case
+            step = steps.get((token, before))
+            if step is None:
+                if len(steps) > 600_000:
+                    steps.clear()
+                step = steps[token, before] = (self.of(token, "", before), low + self.case(token))
+            out.append(step[0])
+            before = step[1]
         return out
 
     def sequence(self, text: str, spans: list[tuple[int, int]], found_: list[tuple[int, int, str]], bare: random.Random | None = None) -> list[int]:
@@ -233,6 +245,21 @@ class Types:
         return out
 
 
+def sentences_of(text: str) -> Iterator[tuple[int, int]]:
+    """Sentences end at a stop or semicolon after five letters or after a figure, and before the headings of acts."""
+    at = 0
+    for m in END.finditer(text):
+        end = m.end()
+        if text[m.start()] != "\n":
+            before = text[max(0, end - 6) : end - 1]
+            if not (len(before) == 5 and before.isalpha()):
+                if not (before[-1:].isdigit() and NEXT.match(text, end)):
+                    continue
+        yield at, end
+        at = end
+    yield at, len(text)
+
+
 def spans_of(text: str, start: int, end: int) -> list[tuple[int, int]]:
     return [(m.end() - len(m[0].lstrip()), m.end()) for m in TOKEN.finditer(text, start, end)]
 
@@ -331,31 +358,34 @@ class Field:
                 np.add.at(dt, (y[on, i - 1], y[on, i]), 1)
 
     def decode(self, sequences: list[tuple[int, ...]]) -> list[list[int]]:
-        """Best labels of each sequence, by Viterbi over batches of like length."""
+        """Best labels of each sequence, by Viterbi over batches of like length; an empty list where all are O."""
         out: list[list[int]] = [[] for _ in sequences]
         order = sorted(range(len(sequences)), key=lambda i: len(sequences[i]))
+        step, first = self.t[: self.k].astype(self.w.dtype), self.t[self.k].astype(self.w.dtype)
         for start in range(0, len(order), 512):
             part = order[start : start + 512]
-            length = len(sequences[part[-1]])
+            n = np.array([len(sequences[i]) for i in part])
+            length = int(n[-1])
             x = np.zeros((len(part), length + 6), int)
             for r, i in enumerate(part):
                 x[r, 3 : 3 + len(sequences[i])] = sequences[i]
             s = self.scores(x)
-            best, came = s[:, 0] + self.t[self.k], np.zeros(s.shape, np.int8)
-            every = [best]
-            for j in range(1, length):
-                c = best[:, :, None] + self.t[None, : self.k]
-                came[:, j] = c.argmax(axis=1)
-                best = c.max(axis=1) + s[:, j]
-                every.append(best)
-            for r, i in enumerate(part):
-                n = len(sequences[i])
-                k = int(every[n - 1][r].argmax())
-                labels = [k]
-                for j in range(n - 1, 0, -1):
-                    k = int(came[r, j, k])
-                    labels.append(k)
-                out[i] = labels[::-1]
+            best, came, last = s[:, 0] + first, np.zeros(s.shape, np.int8), np.zeros(len(part), int)
+            for j in range(length):
+                if j:
+                    c = best[:, :, None] + step
+                    came[:, j] = c.argmax(axis=1)
+                    best = c.max(axis=1) + s[:, j]
+                done = np.flatnonzero(n == j + 1)
+                last[done] = best[done].argmax(axis=1)
+            labels, now, rows = np.zeros((len(part), length), np.int8), np.zeros(len(part), int), np.arange(len(part))
+            for j in range(length - 1, -1, -1):
+                now = np.where(n == j + 1, last, now)
+                labels[:, j] = now
+                now = came[rows, j, now]
+            labels[np.arange(length) >= n[:, None]] = 0
+            for r in np.flatnonzero(labels.any(axis=1)):
+                out[part[r]] = labels[r, : n[r]].tolist()
         return out
 
 
@@ -368,10 +398,13 @@ def trained() -> tuple[Types, Field]:
     return types, field
 
 
-def is_name(text: str, start: int, end: int) -> bool:
-    """False for what the field takes for a name of a person and surely is none: a single word, or the name of a firm."""
+def is_name(text: str, start: int, end: int, low: bool) -> bool:
+    """False for what the field takes for a name of a person and surely is none: a single word, words without capitals in a
+    text that has some, or the name of a firm."""
     words = re.findall(r"[^\W\d_]+", text[start:end])
-    return len(words) > 1 and any(len(w) > 1 for w in words) and not any(m.start() < end + 3 for rx, _ in FORMS for m in rx.finditer(text, start, end + 25))
+    if len(words) < 2 or not any(len(w) > 1 for w in words) or not low and any(w.islower() and w not in SMALL for w in words):
+        return False
+    return not any(m.start() < end + 3 for rx, _ in FORMS for m in rx.finditer(text, start, end + 25))
 
 
 def windows(length: int) -> Iterator[tuple[int, int, int, int]]:
@@ -387,39 +420,46 @@ def windows(length: int) -> Iterator[tuple[int, int, int, int]]:
 
 def found(texts: list[str | None], types: Types, field: Field, cache: dict[tuple[int, ...], list[int]], places: list[str]) -> list[list[tuple[int, int, str]]]:
     """Places (start, end, kind) of the items of each text."""
-    sentences: list[tuple[int, int, int, list[tuple[tuple[int, ...], int, int]]]] = []
+    sentences: list[tuple[int, int, int, list[tuple[int, int]] | None, list[tuple[tuple[int, ...], int, int]]]] = []
     new: dict[tuple[int, ...], None] = {}
     if len(cache) > 300_000:
         cache.clear()
     for n, t in enumerate(texts):
         if not t:
             continue
-        at, hits, h, low = 0, marks(t, places), 0, t.islower()
-        for m in [*SENTENCE.finditer(t), None]:
-            end = m.start() if m else len(t)
+        hits, h, low = marks(t, places), 0, t.islower()
+        for at, end in sentences_of(t):
             while h < len(hits) and hits[h][1] <= at:
                 h += 1
-            if h < len(hits) and hits[h][0] < end:
-                seq = types.sequence(t, spans_of(t, at, end), hits)
+            spans = None
+            marked = h < len(hits) and hits[h][0] < end
+            if not marked and not low and not CAPITALS.search(t, at, end):
+                continue  # neither a match nor what a name has at least
+            if marked:
+                spans = spans_of(t, at, end)
+                seq = types.sequence(t, spans, hits)
             else:
                 seq = types.plain_sequence(TOKEN.findall(t, at, end), "*" if low else "")
-            parts = []
-            for a, b, left, right in windows(len(seq)):
-                part = tuple(seq[a:b])
-                parts.append((part, left - a, right - a))
+            if len(seq) <= WINDOW:
+                parts = [(tuple(seq), 0, len(seq))]
+            else:
+                parts = [(tuple(seq[a:b]), left - a, right - a) for a, b, left, right in windows(len(seq))]
+            for part, _, _ in parts:
                 if part not in cache:
                     new[part] = None
-            sentences.append((n, at, end, parts))
-            at = m.end() if m else end
+            sentences.append((n, at, end, spans, parts))
     field.grow(types)
     for seq, labels in zip([s for s in new if s], field.decode([s for s in new if s])):
-        cache[seq] = labels if any(labels) else []
+        cache[seq] = labels
     out: list[list[tuple[int, int, str]]] = [[] for _ in texts]
-    for n, at, end, parts in sentences:
-        if not any(cache.get(p) for p, _, _ in parts):
+    for n, at, end, spans, parts in sentences:
+        if len(parts) == 1:
+            labels = cache.get(parts[0][0])
+        else:
+            labels = [k for p, a, b in parts for k in ((cache.get(p) or [0] * len(p))[a:b])]
+        if not labels:
             continue
-        labels = [k for p, a, b in parts for k in ((cache.get(p) or [0] * len(p))[a:b])]
-        spans = spans_of(texts[n], at, end)
+        spans = spans or spans_of(texts[n], at, end)
         i = 0
         while i < len(labels):
             j = i + 1
@@ -428,7 +468,7 @@ def found(texts: list[str | None], types: Types, field: Field, cache: dict[tuple
                 while j < len(labels) and labels[j] == 2 * kind + 2:
                     j += 1
                 start, stop = spans[i][0], spans[j - 1][1]
-                if ITEMS[kind] != "nome" or is_name(texts[n], start, stop):
+                if ITEMS[kind] != "nome" or is_name(texts[n], start, stop, texts[n].islower()):
                     out[n].append((start, stop, ITEMS[kind]))
             i = j
     return out
@@ -444,7 +484,9 @@ def personal(rows: DataFrame, key: str, text: str, places: list[str] | None = No
         for pdf in batches:
             texts = [t if isinstance(t, str) else None for t in pdf["_text"]]
             items, safe = [], []
-            for t, places_ in zip(texts, found(texts, types, field, cache, known)):
+            different = list(dict.fromkeys(texts))  # equal texts are read once
+            hits = dict(zip(different, found(different, types, field, cache, known)))
+            for t, places_ in ((t, hits[t]) for t in texts):
                 own, out, at = {}, [], 0
                 for a, b, k in places_:
                     own[k, " ".join(t[a:b].split())] = None
