@@ -28,10 +28,10 @@ def words(c: str | Column) -> Column:
     return F.regexp_extract_all(F.lower(F.coalesce(col(c), F.lit(""))), F.lit(WORD), F.lit(0))
 
 
-def text_features(c: str | Column) -> dict[str, Column]:
-    """Eight measures of a text; null counts as empty."""
+def text_features(c: str | Column, found: str | Column | None = None) -> dict[str, Column]:
+    """Eight measures of a text; null counts as empty. `found` is a column of its words, so that they are cut out once."""
     t = F.coalesce(col(c), F.lit(""))
-    w = words(c)
+    w = words(c) if found is None else col(found)
     same = lambda x: F.size(F.filter(w, lambda v: v == x)).cast("bigint")
     years = F.array_sort(F.array_distinct(F.filter(w, lambda v: v.rlike(r"^20[0-9]{2}$"))))
     return {

@@ -47,6 +47,18 @@ def page_start(page: str | Column, step: int = 15) -> Column:
     return 1 + (col(page) - 1) * step
 
 
+def page_step(page: str | Column, start: str | Column, default: int = 15) -> Column:
+    """Rows of a list page, estimated from a later page and where it starts; `default` where that gives nothing from 5 to 50."""
+    page, start = col(page), col(start)
+    guess = F.bround((start - 1) / F.when(page > 1, page - 1)).cast("int")
+    return F.when((start > 1) & guess.between(5, 50), guess).otherwise(default)
+
+
+def next_start(page: str | Column, start: str | Column, default: int = 15) -> Column:
+    """Where the page after `page` starts."""
+    return 1 + col(page) * page_step(page, start, default)
+
+
 def extension(url: str | Column, media: Column | None = None) -> Column:
     """Ending of a document: by media type, else that of the address, else `.bin`."""
     known = F.lit(None).cast("string")

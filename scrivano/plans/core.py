@@ -52,7 +52,8 @@ _FEATURES = r"""length(t) AS text_chars, len(ws) AS text_words, len(list_distinc
 
 @query(f"WITH w AS (SELECT doc_key, coalesce(text, '') AS t, {WORDS.format('text')} AS ws FROM documenti_corpus) SELECT doc_key, {_FEATURES} FROM w")
 def text_features(spark: SparkSession, d: str) -> DataFrame:
-    return table(spark, d, "documenti_corpus").select("doc_key", *(v.alias(k) for k, v in text.text_features("text").items()))
+    docs = table(spark, d, "documenti_corpus").select("doc_key", "text", text.words("text").alias("words"))
+    return docs.select("doc_key", *(v.alias(k) for k, v in text.text_features("text", "words").items()))
 
 
 @query(f"SELECT doc_key, {NORM.format('text')} AS text FROM documenti_corpus")
@@ -388,6 +389,17 @@ def next_pages(spark: SparkSession, d: str) -> DataFrame:
     return rows.select("atto_id", urls.query_value("dettaglio_url", "id").alias("id"), urls.next_page("page_url").alias("next_url"))
 
 
+@query(
+    r"""
+SELECT atto_id, nullif(regexp_extract(dettaglio_url, '[?&]id=([^&#]*)', 1), '') AS id,
+ CASE WHEN n <> '' THEN regexp_replace(page_url, '([?&]pagina=)[^&#]*', '\1' || CAST(coalesce(try_cast(n AS BIGINT), 1) + 1 AS VARCHAR), 'g') ELSE page_url || CASE WHEN contains(page_url, '?') THEN '&' ELSE '?' END || 'pagina=2' END AS next_url
+FROM (SELECT *, regexp_extract(coalesce(page_url, ''), '[?&]pagina=([^&#]*)', 1) AS n FROM albo_metadati)"""
+)
+def next_pages_all(spark: SparkSession, d: str) -> DataFrame:
+    """The following page of every notice's page, page 2 where none is named; without an address there is none."""
+    return table(spark, d, "albo_metadati").select("atto_id", urls.query_value("dettaglio_url", "id").alias("id"), urls.next_page("page_url").alias("next_url"))
+
+
 @query()
 def attachment_names(spark: SparkSession, d: str) -> DataFrame:
     """Name, ending and kind of link of every attachment."""

@@ -13,6 +13,7 @@ from pyspark.sql import functions as F
 
 NEXT = re.compile(r"(?i)success|avanti|prossim|next|^\s*(?:>|›|»|>>)\s*$")
 NUMBER, DATE = re.compile(r"(?i)\bn(?:\.|umero|°)\s*(\d{1,6})"), re.compile(r"\b(\d{2}/\d{2}/\d{4})\b")
+KIND = re.compile(r"(?i)\b(delibera|determinazione|ordinanza|avviso|bando)\b")  # fixed values: kinds that list pages name
 SUBJECT, OFFICE = re.compile(r"(?i)oggetto\s*[:|]+\s*([^|]+)"), re.compile(r"(?i)(?:ufficio|settore|area)\s*[:|]+\s*([^|]+)")
 
 
@@ -62,14 +63,14 @@ class _Reader(HTMLParser):
                 self.rows["tr" if kind == "tr" else "li"].append(row)
 
 
-def list_rows(url: str, html: str) -> list[tuple[str, str, str | None, str | None, str | None]]:
-    """(address, title, number, date, kind of next link) of each row with a link; the table is preferred to list items."""
+def list_rows(url: str, html: str) -> list[tuple[str, str, str | None, str | None, str | None, str | None]]:
+    """(address, title, number, date, kind of act, kind of next link) of each row with a link; the table is preferred to list items."""
     r = _Reader(html or "")
     out = []
     for row in r.rows["tr"] or r.rows["li"]:
         text, link = " ".join(row["text"]), row["links"][0]
-        n, d = NUMBER.search(text), DATE.search(text)
-        out.append((urljoin(url or "", link["href"]), link["text"] or "Documento", n[1] if n else None, d[1] if d else None, "next" if NEXT.search(link["text"]) or link["rel"] == "next" else None))
+        n, d, k = NUMBER.search(text), DATE.search(text), KIND.search(text)
+        out.append((urljoin(url or "", link["href"]), link["text"] or "Documento", n[1] if n else None, d[1] if d else None, k[1].capitalize() if k else None, "next" if NEXT.search(link["text"]) or link["rel"] == "next" else None))
     return out
 
 
@@ -91,11 +92,11 @@ def detail(url: str, html: str) -> tuple[str | None, str | None, list[str]]:
 
 
 def listed_notices(pages: DataFrame, url: str = "url", html: str = "html") -> DataFrame:
-    """(page_url, dettaglio_url, titolo, numero, data_pubblicazione) of all list pages."""
+    """(page_url, dettaglio_url, titolo, numero, data_pubblicazione, tipologia) of all list pages."""
 
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for pdf in batches:
-            rows = [(u, *r[:4]) for u, h in zip(pdf[url], pdf[html]) for r in list_rows(u, h) if r[4] is None]
-            yield pd.DataFrame(rows, columns=["page_url", "dettaglio_url", "titolo", "numero", "data_pubblicazione"])
+            rows = [(u, *r[:5]) for u, h in zip(pdf[url], pdf[html]) for r in list_rows(u, h) if r[5] is None]
+            yield pd.DataFrame(rows, columns=["page_url", "dettaglio_url", "titolo", "numero", "data_pubblicazione", "tipologia"])
 
-    return pages.select(url, html).filter(F.col(html).isNotNull()).mapInPandas(run, "page_url string, dettaglio_url string, titolo string, numero string, data_pubblicazione string")
+    return pages.select(url, html).filter(F.col(html).isNotNull()).mapInPandas(run, "page_url string, dettaglio_url string, titolo string, numero string, data_pubblicazione string, tipologia string")

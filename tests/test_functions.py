@@ -70,3 +70,10 @@ def test_lists_and_keys(spark):
     assert one(spark, " ", arrays.listed) == [] and one(spark, None, arrays.listed) == []
     assert one(spark, "", lambda c: arrays.notice_key(c, F.array(F.lit("a")))) == "a"
     assert len(one(spark, None, lambda c: arrays.notice_key(c, F.array().cast("array<string>"), c))) == 40
+
+
+def test_start_of_the_next_page(spark):
+    from scrivano.functions import urls
+
+    df = spark.createDataFrame([(1, 1), (3, 21), (3, 400), (2, 16), (None, 5)], "page int, start int")
+    assert [r[0] for r in df.select(urls.next_start("page", "start")).collect()] == [16, 31, 46, 31, None]

@@ -118,7 +118,9 @@ HTML = '<html><title>T</title><ul><li><a href="d?id=1">Atto n. 5</a> 01/02/2024<
 
 def test_pages(spark):
     df = spark.createDataFrame([("https://a.example/l", HTML), ("https://a.example/m", None), ("https://a.example/n", "")], "url string, html string")
-    assert [tuple(r) for r in pages.listed_notices(df).collect()] == [("https://a.example/l", "https://a.example/d?id=1", "Atto n. 5", "5", "01/02/2024")]
+    assert [tuple(r) for r in pages.listed_notices(df).collect()] == [("https://a.example/l", "https://a.example/d?id=1", "Atto n. 5", "5", "01/02/2024", None)]
+    kinds = spark.createDataFrame([("u", "<table><tr><td>DELIBERA di giunta</td><td><a href='x'>y</a></td></tr></table>")], "url string, html string")
+    assert [r["tipologia"] for r in pages.listed_notices(kinds).collect()] == ["Delibera"]
     assert pages.next_link("https://a.example/l", HTML) == "https://a.example/l?p=2"
     assert pages.detail("https://a.example/d", "<p>Oggetto: Lavori</p><a href='x.pdf'>f</a><a href='x.pdf'>f</a>") == ("Lavori", None, ["https://a.example/x.pdf"])
 
