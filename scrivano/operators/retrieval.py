@@ -81,10 +81,10 @@ def prefixed_chunks(docs: DataFrame, key: str, text: str = "text", subject: str
     return parts.select(key, "chunk_no", prefixed(F.nullif(compact(subject), F.lit("N/D")), F.col(cig), F.col(cup), F.col("chunk")).alias("chunk"))
 
 
-def blocks_of(rows: DataFrame, key: str, most: int, least: int = BLOCK) -> tuple[DataFrame, int]:
-    """Adds `b`, a number of a block of about `most` rows; small tables get as many blocks as there are shuffle partitions,
+def blocks_of(rows: DataFrame, key: str, most: int, least: int = BLOCK, n: int | None = None) -> tuple[DataFrame, int]:
+    """Adds `b`, a number of a block of about `most` rows (of `n`, if that is known); small tables get as many blocks as there are shuffle partitions,
     if each then has `least` rows. The larger the blocks the less is copied."""
-    n = rows.count()
+    n = rows.count() if n is None else n
     spread = min(int(rows.sparkSession.conf.get("spark.sql.shuffle.partitions")), -(-n // least))
     n = max(1, -(-n // most), spread)
     return rows.withColumn("b", F.pmod(F.xxhash64(key), F.lit(n))), n
@@ -106,9 +106,9 @@ def overlap_search(questions: DataFrame, question: str, docs: DataFrame, key: st
     questions are packed into blocks of their tokens' hashes, and each pair of blocks is one product of two 0/1 matrices over
     the tokens of the questions, which leaves `top` rows a question."""
     hashes = lambda c: F.transform(tokens(c), lambda x: F.xxhash64(x))
-    rows, n = blocks_of(docs.select(F.col(key).alias("id"), hashes(text).alias("t")).filter("size(t) > 0"), "id", TEXTS, TEXTS // 32)
+    rows, n = blocks_of(docs.select(F.col(key).alias("id"), hashes(text).alias("t")).filter("size(t) > 0"), "id", TEXTS, TEXTS // 32, docs.count())
     asked = questions.select(F.col(query_key).alias("id"), hashes(question).alias("t")).filter("size(t) > 0")
-    asked, _ = blocks_of(asked, "id", BLOCK, BLOCK)
+    asked, _ = blocks_of(asked, "id", BLOCK, BLOCK, questions.count())
     blocks = rows.groupBy("b").agg(F.collect_list(F.struct("id", "t")).alias("rows"))
     asked = asked.groupBy(F.col("b").alias("qb")).agg(F.collect_list(F.struct("id", "t")).alias("asked"))
     met = blocks.join(asked.withColumn("b", F.explode(F.sequence(F.lit(0).cast("bigint"), F.lit(n - 1).cast("bigint")))), "b")
