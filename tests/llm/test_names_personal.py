@@ -86,6 +86,30 @@ def test_keys_of_busy_heads_find_what_direct_pairs_find(spark, monkeypatch):
     assert seen[0] == seen[1] and len(seen[0]) > 50
 
 
+def test_names_that_only_look_alike_are_no_candidates(spark):
+    """Made-up surnames share most of their syllables; the names to be compared follow the number of names, not its square."""
+    r = random.Random(3)
+    last = sorted({"".join(r.choice(["bar", "cor", "dal", "fen", "gri", "mon", "pel", "sta", "tor", "vil"]) for _ in range(3)) + r.choice(["etti", "asco", "eraldi", "ovani"]) for _ in range(1500)})
+    rows = [(k, [g, w], "") for k, (w, g) in enumerate((w, r.choice(["ezio", "ines", "ugo"])) for w in last)] + [(len(last) + k, ["ezio", w[:4] + w[5:]], "") for k, w in enumerate(last[:20])]
+    df = spark.createDataFrame([(n, w, sorted(set(name_variants.distinctive(w))), f) for n, w, f in rows], "node bigint, words array<string>, own array<string>, form string")
+    df = df.selectExpr("*", "'x' as campo", "xxhash64(own) as head", "false as acronym", "cast(array() as array<string>) as acronyms")
+    got = {tuple(x) for x in name_variants.candidates(df).collect()}
+    assert {(k, len(last) + k) for k in range(20)} <= got and len(got) < 4 * len(rows)
+
+
+def test_words_meet_whenever_one_can_stand_for_the_other(spark):
+    r = random.Random(6)
+    words = ["imp.ti", "impianti", "manut.", "manutenzioni", "manut", "tornex", "torenx", "tornez", "f.lli", "fratelli", "nino", "antonio", "tonino", "giuse", "serv.", "serv", *sorted(name_variants.SHORT)[:20], *sorted(name_variants.GIVEN)[:20]]
+    for n in (3, 4, 5, 6, 9, 28, 29, 30, 31, 32, 60):
+        for w in ("".join(r.choices("abcdefghilmnoprstuvz", k=n)) for _ in range(12)):
+            i = r.randrange(n - 1)
+            words += [w, w[:i] + w[i + 1 :], w[:i] + w[i + 1] + w[i] + w[i + 2 :], w[:i] + "x" + w[i + 1 :], w[:i] + "xy" + w[i:]]
+    words = sorted({w for w in words if len(w) > 1})
+    want = {(a, b) for a in words for b in words if max(name_variants.word_similarity(a, b), name_variants.word_similarity(b, a)) >= 0.6}
+    got = [tuple(x) for x in name_variants.met_words(spark.createDataFrame([(w,) for w in words], "word string")).collect()]
+    assert set(got) == want and len(got) == len(want)
+
+
 @pytest.mark.parametrize("scale", ["0.001", "0.01"])
 def test_candidates_against_all_pairs(spark, scale):
     """Recall of the links of the candidate stage against a comparison of all pairs of nodes of the test table."""
