@@ -149,6 +149,46 @@ def test_items_of_a_sentence(model):
     assert items(model, "BARMANETTI, EZIO") == [("nome", "BARMANETTI, EZIO")] and items(model, "Tornex Impianti S.r.l.") == []
 
 
+BITS = ["BRMZEI60A01Y111Z", "BRM ZEI 60A01 Y111Z", "brmzei60a01y111z", "AB12345CD", "AA1234567", "xAA1234567", "A A1234567", "305 1234567", "+39 (06) 12.34.567", "0039 305/1234567", "(0835)123456", "/305 1234567", "12/03/2024", "2.305 1234567",
+        "via dei Tigli, 3/C - 00123 Borgo\nAlto", "VIA ROMA 1", "v.le Monte 12 bis", "\u017ftrada Vecchia 4", "c.so Italia n. 5", "l'aviavia Roma 3", "p.zza San Carlo 2", "a@b.example", "x.y @ posta.example", "q[at] z.example", "(chiocciola)", "@", "[", "[at", "borgo  alto", "Borgo",
+        "BORGO ALTO", "xBorgo Alto", "Ezio Barmanetti", ".", ",", "_", "\u2003", "\n", "\x1f", "", "OGGETTO", "è", "\U0001d7d8", "İ", "ß", "1", "a", "A"]
+
+
+def test_patterns_are_found_as_by_a_search_from_every_place(model):
+    """What begins at the signs and figures looked for is all that the patterns match; types of marked sentences are the same both ways."""
+    import re
+
+    types, _ = model
+    sign = re.compile(r"\s?(?:@|[\[(](?:chiocciola|at)[\])])\s?", re.I)
+    place = re.compile(r"(?<!\w)(?:Borgo\s+Alto|İ\s+a|borgo|ß)(?!\w)", re.I)
+    r, seen = random.Random(12), [0] * 5
+    for _ in range(4000):
+        t = "".join(x + r.choice(["", " ", " ", "  ", "\n"]) for x in r.choices(BITS, k=r.randint(1, 9)))
+        mails = []
+        for m in sign.finditer(t):
+            a, host = m.start(), personal.HOST.match(t, m.end())
+            while a and (t[a - 1].isalnum() or t[a - 1] in "_.+-"):
+                a -= 1
+            mails += [(a, host.end())] if host and a < m.start() else []
+        pairs = [
+            ([m.span() for m in personal.identities(t)], [m.span() for m in personal.IDENTITY.finditer(t)]), ([m.span() for m in personal.phones(t)], [m.span() for m in personal.PHONE.finditer(t)]),
+            ([m.span() for m in personal.addresses(t)], [m.span() for m in personal.ADDRESS.finditer(t)]), ([m.span() for m in personal.any_of(("borgo", "Borgo Alto", "İ a", "ß", " ")).finditer(t)], [m.span() for m in place.finditer(t)]),
+            (list(personal.emails(t)), mails),
+        ]
+        for k, (got, want) in enumerate(pairs):
+            assert got == want, t
+            seen[k] += len(want)
+        hits, h = personal.marks(t, ["Borgo Alto"]), 0
+        for at, end in personal.sentences_of(t):
+            while h < len(hits) and hits[h][1] <= at:
+                h += 1
+            if h < len(hits) and hits[h][0] < end:
+                tokens = personal.TOKEN.findall(t, at, end)
+                assert len(t[at:end].rstrip()) <= sum(map(len, tokens)) <= end - at
+                assert types.marked_sequence(t, at, tokens, hits, h, "*" if t.islower() else "") == types.sequence(t, personal.spans_of(t, at, end), hits), t
+    assert min(seen) > 100
+
+
 def test_held_out_accuracy():
     """Trained on the table, tried on sentences with other values."""
     types, field = personal.trained()
